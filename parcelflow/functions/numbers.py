@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Plain decimal and exponent notation plus the spellings of infinity. Spark's own cast would also
-# take a trailing type letter ("1d"), which is not a number in a county file.
-_NUMERIC = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def to_number(c: Column | str) -> Column:
-    """Text to double; anything unreadable, blank or NaN becomes NULL."""
+    """Text to double; anything unreadable, blank or NaN becomes NULL.
+
+    Spark's cast also takes a trailing type letter ("1d") and hexadecimal ("0x1p3"). Those are no numbers in
+    a landed file.
+    """
     text = F.btrim(_col(c).cast("string"), F.lit(" \t\r\n"))
-    return F.when(text.rlike(_NUMERIC), text.try_cast("double"))
+    value = text.try_cast("double")
+    lowered = F.lower(text)
+    typed = F.right(lowered, F.lit(1)).isin("d", "f") & ~F.endswith(lowered, F.lit("inf"))
+    plain = value.isNotNull() & ~F.isnan(value) & ~typed & ~F.contains(lowered, F.lit("x"))
+    return F.when(plain, value)
 
 
 def nan_to_null(c: Column | str) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from parcelflow.checkpoints import checkpointed
+
 FOLDS = 15
 MISSING_VALUE = -1.0  # no feature is negative, so trees can split missing values off
 
@@ -80,7 +82,8 @@ def train(
     )
     kept = [*features, F.col(label).cast("double").alias(label), *([fold_column] if fold_column else [])]
     rows = feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept)
-    return search.fit(rows)
+    # Boosting reads its rows once per tree level: keep them instead of rebuilding the panel every time.
+    return search.fit(checkpointed(rows))
 
 
 def save_model(model: CrossValidatorModel, path: str) -> None:

@@ -151,7 +151,7 @@ def key_build(t: Tables) -> DataFrame:
     "title_case",
     """
     SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower(text), '([\\p{L}]+|[^\\p{L}]+)'),
-           lambda x: upper(x[1]) || x[2:]), '') AS title
+           lambda x: CASE x[1] WHEN 'ß' THEN 'Ss' ELSE upper(x[1]) END || x[2:]), '') AS title
     FROM documents
     """,
 )

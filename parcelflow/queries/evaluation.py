@@ -59,7 +59,7 @@ def profile_text(t: Tables) -> DataFrame:
 
 
 def _corr_sql(a: str, b: str) -> str:
-    value = "1.0" if a == b else f"round(corr({a}, {b}), 4)"
+    value = "max(1.0)" if a == b else f"round(corr({a}, {b}), 4)"
     keep = "" if a == "l_extendedprice" else f"HAVING abs(corr({a}, l_extendedprice)) > 0.001"
     return f"SELECT '{a}' AS \"column\", '{b}' AS other, CAST({value} AS DOUBLE) AS correlation FROM lineitem {keep}"
 

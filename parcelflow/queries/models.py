@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.checkpoints import checkpointed
 from parcelflow.ml import score
 from parcelflow.ml.importance import permutation_importance
 from parcelflow.ml.train import train, with_fold
@@ -19,7 +20,7 @@ FOLDS = 2
 
 
 def _panels(t: Tables) -> splits.Splits:
-    sales = linked_orders(t)
+    sales = checkpointed(linked_orders(t))  # plays the history stage, which the job reads several times
     dictionary = fit_ordinal(sales, ["owner"])
     return splits.split_panel(encode(sales, dictionary, ["owner"], suffix="_code"), CALENDAR, KEYS, TENURE)
 

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.dates import parse_date
 from parcelflow.functions.numbers import to_number
-from parcelflow.sources.missing import known_text
+from parcelflow.sources.missing import BLANKS, known_text
 
 
 def typed(c: Column, kind: str) -> Column:
-    """Text as ``string``, ``double``, ``int`` or ``date``; unreadable text is NULL."""
-    text = known_text(c)
+    """Text as ``string``, ``double``, ``int``, ``long`` or ``date``; unreadable text is NULL."""
     if kind == "string":
-        return text
+        return known_text(c)
     if kind == "date":
-        return parse_date(text)
-    return to_number(text).try_cast(kind)
+        return parse_date(c)
+    if kind == "long":  # a double would lose the last digits of a long number
+        return F.coalesce(F.btrim(c, F.lit(BLANKS)).try_cast("long"), to_number(c).try_cast("long"))
+    return to_number(c).try_cast(kind)
 
 
 def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

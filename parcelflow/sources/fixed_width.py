@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.functions.numbers import to_number
+from parcelflow.sources.delimited import typed
 from parcelflow.sources.layouts import Field
-from parcelflow.sources.missing import BLANKS, known_text
+from parcelflow.sources.missing import BLANKS
 
 LINE = "line"
 
@@ -17,9 +17,8 @@ LINE = "line"
 def _field(line: Column, field: Field) -> Column:
     if field.width == 0:
         return F.lit(None).cast(field.type).alias(field.name)
-    text = known_text(F.btrim(F.substring(line, field.start, field.width), F.lit(BLANKS)))
-    value = text if field.type == "string" else to_number(text).try_cast(field.type)
-    return value.alias(field.name)
+    text = F.btrim(F.substring(line, field.start, field.width), F.lit(BLANKS))
+    return typed(text, field.type).alias(field.name)
 
 
 def cut_fields(df: DataFrame, line: str, layout: Sequence[Field], columns: Sequence[str] | None = None) -> DataFrame:
