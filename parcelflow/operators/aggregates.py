@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.operators.positions import quantiles
+from parcelflow.operators.positions import values_at
 
 
 def stage_counts(df: DataFrame, key: str) -> DataFrame:
@@ -22,13 +22,51 @@ def label_balance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _unpivot(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]
-    return df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    known = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
+    return known.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    return _unpivot(df, columns, kind).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+QUARTILES = (0.25, 0.5, 0.75)
+ACCURACY = 10_000  # the sketch misplaces a value by at most 1 / ACCURACY of the rows
+
+
+def _brackets(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> dict[str, list[float]]:
+    """Two values around every wanted quantile, per column: a few numbers from one mergeable sketch.
+
+    The margin covers the error of the sketch and, in a small table, the neighbouring rows.
+    """
+    known = df.agg(*[F.count(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
+    sketch = []
+    for c, rows in known.items():
+        if rows:
+            margin = 2.0 / ACCURACY + 2.0 / rows
+            around = [min(max(p + side, 0.0), 1.0) for p in points for side in (-margin, margin)]
+            sketch.append(F.percentile_approx(F.col(c).cast("double"), around, ACCURACY).alias(c))
+    return df.agg(*sketch).first().asDict() if sketch else {}
+
+
+def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact quartiles. Only the values close to a quartile are shuffled; the rest is counted in place."""
+    brackets = _brackets(df, columns, QUARTILES)
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, q25 double, q50 double, q75 double")
+    cells, below = [], []
+    for c, bounds in brackets.items():
+        value = F.col(c).cast("double")
+        for i, (point, low, high) in enumerate(zip(QUARTILES, bounds[::2], bounds[1::2])):
+            name = [F.lit(c).alias("column"), F.lit(i).alias("point")]
+            cells.append(F.struct(*name, F.when(value.between(low, high), value).alias("value")))
+            place = F.lit(point) * (F.count(value) - 1) - F.count_if(value < low)
+            below.append(F.struct(*name, place.alias("place")))
+    near = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
+    histogram = near.groupBy("column", "point", "value").agg(F.count(F.lit(1)).alias("n"))
+    targets = df.agg(F.array(*below).alias("_rows")).select(F.explode("_rows").alias("_row")).select("_row.*")
+    picked = values_at(histogram, ["column", "point"], "value", "n", targets, "place")
+    found = F.coalesce(F.col("value"), F.raise_error(F.lit("a quartile lies outside of its bracket")).cast("double"))
+    by_point = [F.max(F.when(F.col("point") == i, found)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))]
+    return picked.groupBy("column").agg(*by_point)
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,9 +85,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         )
     summary = df.agg(F.array(*moments).alias("_rows")).select(F.explode("_rows").alias("_row")).select("_row.*")
-    quartiles = quantiles(_value_counts(df, columns, "double"), "column", "value", "n", (0.25, 0.5, 0.75))
-    quartiles = quartiles.withColumnsRenamed({"q0": "q25", "q1": "q50", "q2": "q75"})
-    return summary.join(quartiles, "column", "left").select(
+    return summary.join(_quartiles(df, columns), "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
@@ -59,7 +95,7 @@ def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Equally frequent values are settled by taking the smallest text.
     """
-    counted = _value_counts(df, columns, "string")
+    counted = _value_counts(df, columns)
     top = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
     grouped = counted.groupBy("column").agg(
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), top.alias("_top")

@@ -38,11 +38,12 @@ def spread_join(
     """Join ``big`` to a side with one row per key (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
     Rows of a hot key are dealt out by the partition they come from, and the single row they match is
-    copied to each share. All other keys join as usual. The list of hot keys is broadcast: its length is
-    bounded by ``hot_rows`` (see ``hot_keys``).
+    copied to each share. All other keys join as usual. Rows without a key match nothing and are dealt out
+    too. The list of hot keys is broadcast: its length is bounded by ``hot_rows`` (see ``hot_keys``).
     """
     hot = F.broadcast(hot_keys(big, keys, hot_rows).withColumn(_HOT, F.lit(True)))
-    share = F.when(F.col(_HOT), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+    spread = F.col(_HOT) | ~_known(keys)
+    share = F.when(spread, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
     copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
     dealt = big.join(hot, list(keys), "left").withColumn(_SALT, share).drop(_HOT)

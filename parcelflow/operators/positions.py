@@ -25,18 +25,13 @@ def _sorted_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def _slice_offsets(numbered: DataFrame, group: Sequence[str], weight: Column) -> DataFrame:
-    """Per group and slice: first place, weight inside, weight before, weight of the whole group.
+    """Per group and slice: first place, weight inside and weight before it.
 
     A group covers neighbouring slices, so this has at most (slices + groups) rows.
     """
     sizes = numbered.groupBy(*group, _SLICE).agg(F.min(_ROW).alias("_first"), F.sum(weight).alias("_inside"))
     earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    return sizes.withColumns(
-        {
-            _BEFORE: F.coalesce(F.sum("_inside").over(earlier), F.lit(0)),
-            "_total": F.sum("_inside").over(W.partitionBy(*group)),
-        }
-    )
+    return sizes.withColumn(_BEFORE, F.coalesce(F.sum("_inside").over(earlier), F.lit(0)))
 
 
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
@@ -52,38 +47,32 @@ def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], nam
     return placed.withColumn(name, place).select(*df.columns, name)
 
 
-def quantiles(histogram: DataFrame, group: str, value: str, count: str, points: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles per group from value counts: columns ``q0``, ``q1``, ... in order of ``points``."""
-    numbered = _sorted_slices(histogram, [group, value])
-    offsets = _slice_offsets(numbered, [group], F.col(count)).select(group, _SLICE, "_inside", _BEFORE, "_total")
-
-    def place(point: float) -> Column:
-        return F.lit(point) * (F.col("_total") - 1)
+def values_at(
+    histogram: DataFrame, group: Sequence[str], value: str, count: str, targets: DataFrame, place: str
+) -> DataFrame:
+    """Value at a 0-based, possibly fractional place of each group's sorted rows, given as value counts.
 
-    ranks = {}
-    for i, point in enumerate(points):
-        ranks[f"_lo{i}"] = F.floor(place(point)).cast("long")
-        ranks[f"_hi{i}"] = F.ceil(place(point)).cast("long")
-    offsets = offsets.withColumns(ranks)
-    wanted = F.lit(False)
-    for rank in ranks:
-        wanted = wanted | ((F.col(rank) >= F.col(_BEFORE)) & (F.col(rank) < F.col(_BEFORE) + F.col("_inside")))
-
-    # Only the slices that hold a wanted rank are summed row by row.
-    rows = numbered.join(F.broadcast(offsets.where(wanted)), [group, _SLICE])
-    running = W.partitionBy(group, _SLICE).orderBy(_ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ``targets`` has one row per group with the wanted place; between two rows the value is interpolated.
+    """
+    numbered = _sorted_slices(histogram, [*group, value])
+    offsets = _slice_offsets(numbered, group, F.col(count)).select(*group, _SLICE, "_inside", _BEFORE)
+    low, high = F.floor(place).cast("long"), F.ceil(place).cast("long")
+    offsets = offsets.join(F.broadcast(targets.select(*group, place)), list(group))
+
+    def reaches(rank: Column) -> Column:
+        return (rank >= F.col(_BEFORE)) & (rank < F.col(_BEFORE) + F.col("_inside"))
+
+    # Only the slices that hold a wanted row are summed row by row.
+    wanted = offsets.where(reaches(low) | reaches(high))
+    rows = numbered.join(F.broadcast(wanted), [*group, _SLICE])
+    running = W.partitionBy(*group, _SLICE).orderBy(_ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("_end", F.col(_BEFORE) + F.sum(count).over(running))
 
-    def value_at(rank: str) -> Column:
-        here = (F.col(rank) < F.col("_end")) & (F.col(rank) >= F.col("_end") - F.col(count))
+    def value_at(rank: Column) -> Column:
+        here = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col(count))
         return F.max(F.when(here, F.col(value)))
 
-    picked = rows.groupBy(group).agg(
-        F.first("_total").alias("_total"), *[value_at(rank).alias(rank) for rank in ranks]
+    found = rows.groupBy(*group).agg(
+        value_at(low).alias("_low"), value_at(high).alias("_high"), F.max(F.col(place) - F.floor(place)).alias("_part")
     )
-    result = []
-    for i, point in enumerate(points):
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        fraction = place(point) - F.floor(place(point))
-        result.append((low + (high - low) * fraction).alias(f"q{i}"))
-    return picked.select(group, *result)
+    return found.select(*group, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(value))

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parcelflow.operators.panel import HORIZONS, month_panel
 from parcelflow.calendars import RunCalendar
+from parcelflow.functions import dates
+from parcelflow.operators.panel import HORIZONS, month_panel
 
 TENURE_YEARS = (10, 20)
 LABEL = "sale_in_3_months"
@@ -50,6 +52,19 @@ def train_panel(
     return panel.where(in_window(start, end, tenure))
 
 
+def sells_in_test(
+    calendar: RunCalendar, tenure: tuple[int, int] = TENURE_YEARS, months: int = HORIZONS[0]
+) -> Column:
+    """Whether a sale has a positive row in the test panel, read off the sale itself."""
+    day = F.lit(calendar.test_date)
+    opened = dates.sale_month("last_sale_date")
+    closed = F.trunc("next_sale_date", "MM")
+    years = F.floor(dates.months_between_months(opened, day) / 12)
+    held = (opened <= day) & (closed > day) & years.between(*tenure)
+    soon = dates.months_between_months(day, closed) <= months
+    return held & soon & null_or_equal("next_good_sale", 1)
+
+
 def guard_labels(train: DataFrame, is_leak: Column) -> DataFrame:
     """Hide the outcome of keys whose sale is what the test month asks about."""
     return train.withColumns(
@@ -75,15 +90,18 @@ def split_panel(
 ) -> Splits:
     """Test and guarded training panels of linked sales (output of ``sale_chain`` with a sale number).
 
-    The keys that sell in the test months are marked on the sales, before these are expanded to months, so
-    the join moves one row per sale rather than one per month.
+    The keys that sell in the test months are marked on the sales, before these are expanded to months. Sales
+    hold one row per key and year, so the mark is a window over a bounded group, on the partitioning that the
+    chain already has; no join is needed.
     """
-    test = test_panel(sales, calendar, tenure)
-    sold = test.where(F.col(LABEL) == 1).select(*keys).distinct().withColumn("_leak", F.lit(True))
-    marked = sales.join(sold, list(keys), "left")
-    train = train_panel(marked, calendar, tenure)
-    guarded = guard_labels(train, F.coalesce(F.col("_leak"), F.lit(False))).drop("_leak")
-    return Splits(test, guarded, guarded.where(F.col(PRICE_LABEL).isNotNull() & null_or_equal("next_good_sale", 1)))
+    sold = F.max(F.coalesce(sells_in_test(calendar, tenure), F.lit(False))).over(W.partitionBy(*keys))
+    marked = sales.withColumn("_leak", sold)
+    guarded = guard_labels(train_panel(marked, calendar, tenure), F.col("_leak")).drop("_leak")
+    return Splits(
+        test=test_panel(sales, calendar, tenure),
+        train=guarded,
+        train_price=guarded.where(F.col(PRICE_LABEL).isNotNull() & null_or_equal("next_good_sale", 1)),
+    )
 
 
 def modelling_rows(

@@ -191,6 +191,11 @@ def test_positions_and_quantiles(spark):
         values = [r["v"] for r in placed.where(f"g = {group}").orderBy("position").collect()]
         assert values == sorted(values) and len(values) == 500
         assert rows(placed.where(f"g = {group}"), "position") == [(i,) for i in range(500)]
+    for size in (1, 2, 3, 5, 6, 102, 103):
+        table = spark.range(size).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+        exact = table.selectExpr("percentile(v, 0.25) a", "percentile(v, 0.5) b", "percentile(v, 0.75) c").first()
+        found = aggregates.profile_numeric(table, ["v"]).select("q25", "q50", "q75").first()
+        assert tuple(found) == pytest.approx(tuple(exact))
     skewed = spark.range(3000).select(F.when(F.col("id") < 1200, 5.0).otherwise(F.col("id") * 1.5).alias("v"))
     profile = aggregates.profile_numeric(skewed, ["v"]).first()
     exact = skewed.selectExpr("percentile(v, 0.25) a", "percentile(v, 0.5) b", "percentile(v, 0.75) c").first()
