@@ -52,4 +52,5 @@ def permutation_importance(
     # One row per feature from here on.
     base = F.max(F.when(F.col("feature") == _UNCHANGED, F.col("_accuracy"))).over(W.partitionBy())
     compared = accuracy.withColumn("importance", base - F.col("_accuracy"))
-    return compared.where(F.col("feature") != _UNCHANGED).select("feature", "importance")
+    changed = compared.where(F.col("feature") != _UNCHANGED).select("feature", "importance")
+    return changed.orderBy(F.desc("importance"), "feature")

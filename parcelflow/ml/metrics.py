@@ -125,6 +125,15 @@ def threshold_sweep(
     )
 
 
+def threshold_counts(df: DataFrame, score: str, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
+    """How many scores exceed each threshold."""
+    rows = [
+        F.struct(F.lit(t).alias("threshold"), F.count_if(F.col(score) > F.lit(t)).alias("predicted"))
+        for t in thresholds
+    ]
+    return df.agg(F.array(*rows).alias("_rows")).select(F.explode("_rows").alias("_row")).select("_row.*")
+
+
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """R2, mean absolute error and mean absolute percentage error over rows where both are known."""
     y, p = F.col(actual), F.col(predicted)

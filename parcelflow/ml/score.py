@@ -42,6 +42,10 @@ def score_prices(df: DataFrame, regressor, features: Sequence[str], interval: fl
     return priced.withColumns({f"{name}_lower": lower, f"{name}_upper": upper})
 
 
+def likely(scored: DataFrame, threshold: float = THRESHOLD, name: str = SCORE) -> DataFrame:
+    return scored.where(F.col(name) > threshold)
+
+
 def cascade_score(
     df: DataFrame,
     classifier,
@@ -51,5 +55,5 @@ def cascade_score(
     threshold: float = THRESHOLD,
     interval: float = INTERVAL,
 ) -> DataFrame:
-    likely = score_sales(df, classifier, sale_features).where(F.col(SCORE) > threshold)
-    return score_prices(likely, regressor, price_features, interval)
+    kept = likely(score_sales(df, classifier, sale_features), threshold)
+    return score_prices(kept, regressor, price_features, interval)

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from parcelflow.operators.dedup import first_per_key_date
 
 
-def open_rows(predictions: DataFrame, actual_columns: Sequence[str]) -> DataFrame:
-    """Predictions whose outcome is still unknown: every actual column is missing."""
+def is_open(actual_columns: Sequence[str]) -> Column:
+    """Whether the outcome is still unknown: every actual column is missing."""
+    unknown = F.lit(True)
     for c in actual_columns:
-        predictions = predictions.where(F.col(c).isNull())
-    return predictions
+        unknown = unknown & F.col(c).isNull()
+    return unknown
+
+
+def open_rows(predictions: DataFrame, actual_columns: Sequence[str]) -> DataFrame:
+    return predictions.where(is_open(actual_columns))
 
 
 def first_event_from(

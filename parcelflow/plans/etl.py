@@ -15,7 +15,7 @@ from parcelflow.functions.numbers import positive_or_null
 from parcelflow.functions.text import title_case
 from parcelflow.operators import enrich, history
 from parcelflow.operators.aggregates import stage_counts
-from parcelflow.operators.backfill import backfill_actuals
+from parcelflow.operators.backfill import backfill_actuals, is_open
 from parcelflow.operators.dedup import last_per_period
 from parcelflow.operators.encode import fit_ordinal
 from parcelflow.operators.joins import positive
@@ -133,7 +133,7 @@ def build_history(sales: DataFrame, assessor: DataFrame, valuations: DataFrame)
 
 def raw_stage(spark: SparkSession, config: EtlConfig) -> DataFrame:
     def build() -> DataFrame:
-        sales = counties.stacked_counties(spark, config.state, config.landing, config.as_of)
+        sales = counties.stacked_counties(spark, config.state, config.landing, config.as_of, assessed=False)
         assessor = counties.read_assessor(spark, config.landing)
         return build_history(sales, assessor, counties.read_valuations(spark, config.landing))
 
@@ -148,6 +148,10 @@ PREDICTION_KEYS = ("predictionPeriodStart", "predictionPeriodEnd", "parcel", "co
 ACTUALS = {"actualSaleDate": "last_sale_date", "actualSalePrice": "last_sale_price", "goodSale": "good_sale"}
 
 
+OPEN_COLUMNS = ("actualSaleDate", "actualSalePrice")
+PARTITION = ("predictionPeriodStart",)
+
+
 def filled_predictions(predictions: DataFrame, raw: DataFrame) -> DataFrame:
     """Open predictions whose sale has happened since, with the actual values."""
     events = raw.withColumnsRenamed({"Parid": "parcel", "SitusCounty": "county", "SitusStateCode": "state"})
@@ -159,21 +163,23 @@ def filled_predictions(predictions: DataFrame, raw: DataFrame) -> DataFrame:
         "last_sale_date",
         "last_sale_price",
         ACTUALS,
-        open_columns=["actualSaleDate", "actualSalePrice"],
+        open_columns=OPEN_COLUMNS,
         tiebreak=["last_sale_price"],
         stamp=("updatedAt", F.current_timestamp()),
     )
 
 
 def backfill(spark: SparkSession, config: EtlConfig, raw: DataFrame) -> str | None:
-    """Write the next version of the prediction table with known outcomes filled in."""
+    """Write the next version of the prediction table with known outcomes filled in.
+
+    Only open predictions are joined; closed ones are copied as they are.
+    """
     current = stages.read_current(spark, config.predictions)
     if current is None:
         return None
-    updates = filled_predictions(current, raw)
-    return stages.write_next(
-        upsert(current, updates, PREDICTION_KEYS, [*ACTUALS, "updatedAt"]), config.predictions
-    )
+    pending, closed = current.where(is_open(OPEN_COLUMNS)), current.where(~is_open(OPEN_COLUMNS))
+    filled = upsert(pending, filled_predictions(pending, raw), PREDICTION_KEYS, [*ACTUALS, "updatedAt"])
+    return stages.write_next(filled.unionByName(closed), config.predictions, PARTITION)
 
 
 def run(spark: SparkSession, config: EtlConfig) -> DataFrame:

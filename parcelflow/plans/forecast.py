@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import stages
 from parcelflow.calendars import RunCalendar, run_calendar
+from parcelflow.checkpoints import checkpointed
 from parcelflow.ml import metrics, score
 from parcelflow.ml.train import FOLDS, load_model, save_model, train, with_fold
 from parcelflow.operators.aggregates import label_balance
@@ -18,7 +19,7 @@ from parcelflow.operators.encode import encode
 from parcelflow.operators.snapshot import current_snapshot
 from parcelflow.operators.splits import LABEL, PRICE_LABEL, TENURE_YEARS, Splits, modelling_rows, split_panel
 from parcelflow.operators.upsert import upsert
-from parcelflow.plans.etl import CATEGORIES, KEY, PREDICTION_KEYS, SALE_NUMBER, EtlConfig
+from parcelflow.plans.etl import CATEGORIES, KEY, PARTITION, PREDICTION_KEYS, SALE_NUMBER, EtlConfig
 
 log = logging.getLogger(__name__)
 
@@ -159,8 +160,8 @@ def publish(df: DataFrame, calendar: RunCalendar, updated_at: Column | None = No
     return dated.select(*[F.col(c).alias(name) for c, name in PUBLISHED.items()])
 
 
-def predict(raw: DataFrame, dictionary: DataFrame, models: dict, config: ForecastConfig) -> DataFrame:
-    """Published predictions for every parcel that is held long enough and likely to sell."""
+def scored_parcels(raw: DataFrame, dictionary: DataFrame, classifier, config: ForecastConfig) -> DataFrame:
+    """Current state of every parcel that is held long enough, with its sale probability."""
     snapshot = current_snapshot(
         raw.drop(SALE_NUMBER),
         KEY,
@@ -169,27 +170,30 @@ def predict(raw: DataFrame, dictionary: DataFrame, models: dict, config: Forecas
         year_built="YearBuilt",
         min_tenure_years=config.tenure[0],
     )
-    scored = score.cascade_score(
-        encoded_categories(snapshot, dictionary),
-        models[LABEL],
-        models[PRICE_LABEL],
-        coded(SALE_FEATURES),
-        coded(PRICE_FEATURES),
-        config.threshold,
-        config.interval,
-    )
-    return publish(scored, config.calendar)
+    return score.score_sales(encoded_categories(snapshot, dictionary), classifier, coded(SALE_FEATURES))
+
+
+def predict(scored: DataFrame, regressor, config: ForecastConfig) -> DataFrame:
+    """Published predictions for the parcels that are likely to sell."""
+    likely = score.likely(scored, config.threshold)
+    return publish(score.score_prices(likely, regressor, coded(PRICE_FEATURES), config.interval), config.calendar)
 
 
 def save_predictions(spark: SparkSession, predictions: DataFrame, config: ForecastConfig) -> str:
-    """Run output as Parquet and JSON, then the next version of the prediction table."""
+    """Run output as Parquet and JSON, then the next version of the prediction table.
+
+    Only the predicted period of the table is joined with the new rows; the other periods are copied.
+    """
     output = config.etl.path("4-predictions")
     stages.write_stage(predictions, output)
     saved = spark.read.parquet(output)
     stages.write_json(saved, config.etl.path("4-predictions-json"))
     current = stages.read_current(spark, config.etl.predictions)
-    table = saved if current is None else upsert(current, saved, PREDICTION_KEYS)
-    return stages.write_next(table, config.etl.predictions)
+    table = saved
+    if current is not None:
+        same_period = F.col(PARTITION[0]).eqNullSafe(F.lit(config.calendar.prediction_start))
+        table = upsert(current.where(same_period), saved, PREDICTION_KEYS).unionByName(current.where(~same_period))
+    return stages.write_next(table.select(*PUBLISHED.values()), config.etl.predictions, PARTITION)
 
 
 def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
@@ -206,6 +210,9 @@ def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
     models = {label: load_model(config.model_path(label)) for label in (LABEL, PRICE_LABEL)}
     for name, table in evaluate(splits, dictionary, models, config).items():
         log.info("%s: %s", name, [r.asDict() for r in table.collect()])
-    path = save_predictions(spark, predict(raw, dictionary, models, config), config)
-    return spark.read.parquet(path)
+    scored = checkpointed(scored_parcels(raw, dictionary, models[LABEL], config))
+    counts = metrics.threshold_counts(scored, score.SCORE)
+    log.info("likely parcels: %s", [r.asDict() for r in counts.collect()])
+    path = save_predictions(spark, predict(scored, models[PRICE_LABEL], config), config)
+    return spark.read.parquet(path).select(*PUBLISHED.values())
 

@@ -165,6 +165,17 @@ def threshold_sweep(t: Tables) -> DataFrame:
     return rounded(metrics.threshold_sweep(scored, "actual", "score"), "precision", "average_precision_hard")
 
 
+@query(
+    "threshold_counts",
+    " UNION ALL ".join(
+        f"SELECT CAST(0.{i} AS DOUBLE) AS threshold, count(*) FILTER (l_discount * 10 > 0.{i}) AS predicted FROM lineitem"
+        for i in range(1, 10)
+    ),
+)
+def threshold_counts(t: Tables) -> DataFrame:
+    return metrics.threshold_counts(t.lineitem.select((F.col("l_discount") * 10).alias("score")), "score")
+
+
 @query(
     "regression_metrics",
     """

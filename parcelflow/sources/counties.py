@@ -50,19 +50,25 @@ def cama_sales(sales: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def cama_rows(parcels: DataFrame, assessments: DataFrame, sales: DataFrame) -> DataFrame:
+def _latest_assessment(assessments: DataFrame) -> DataFrame:
+    order = [F.desc_nulls_last(c) for c in ("Taxyr", "Seq", "Aprbldg", "Aprland", "Class")]
+    latest = first_by(assessments, ["Parid"], order)
+    return latest.select("Parid", "Aprland", "Aprbldg", F.col("Class").alias("Class_asmt"))
+
+
+def cama_rows(parcels: DataFrame, assessments: DataFrame | None, sales: DataFrame) -> DataFrame:
     """Sales of known parcels with the latest assessment of the parcel.
 
     A parcel without a sale has no price and would be dropped next, so the parcel list only selects sales,
-    and assessments are reduced to one row per parcel first. Neither side can then multiply rows.
+    and assessments are reduced to one row per parcel first. Neither side can then multiply rows. Without
+    ``assessments`` the assessed columns are missing, which saves a join that the history does not need.
     """
-    latest = first_by(
-        assessments,
-        ["Parid"],
-        [F.desc_nulls_last(c) for c in ("Taxyr", "Seq", "Aprbldg", "Aprland", "Class")],
-    )
-    latest = latest.select("Parid", "Aprland", "Aprbldg", F.col("Class").alias("Class_asmt"))
-    rows = spread_join(members(sales, parcels, ["Parid"]), latest, ["Parid"], "left")
+    rows = members(sales, parcels, ["Parid"])
+    if assessments is None:
+        missing = {c: F.lit(None).cast("double") for c in ("Aprland", "Aprbldg")}
+        rows = rows.withColumns({**missing, "Class_asmt": F.lit(None).cast("string")})
+    else:
+        rows = spread_join(rows, _latest_assessment(assessments), ["Parid"], "left")
     renamed = rows.withColumnsRenamed(
         {
             "Own1": "Owner Name 1",
@@ -82,10 +88,10 @@ def cama_rows(parcels: DataFrame, assessments: DataFrame, sales: DataFrame) -> D
     return renamed.withColumns(parts).select(*SALE_COLUMNS)
 
 
-def read_cama(spark: SparkSession, directory: str, as_of: dt.date) -> DataFrame:
+def read_cama(spark: SparkSession, directory: str, as_of: dt.date, assessed: bool = True) -> DataFrame:
     """Sales of a county that publishes fixed-width tax files."""
     parcels = read_fixed_width(spark, f"{directory}/PARDAT.DAT", layouts.PARCEL, columns=["Parid"])
-    assessments = read_fixed_width(spark, f"{directory}/ASMT.DAT", layouts.ASSESSMENT)
+    assessments = read_fixed_width(spark, f"{directory}/ASMT.DAT", layouts.ASSESSMENT) if assessed else None
     sales = read_fixed_width(spark, f"{directory}/SALES.DAT", layouts.SALES)
     return cama_rows(parcels, assessments, cama_sales(sales, as_of))
 
@@ -187,12 +193,12 @@ def read_transfers(spark: SparkSession, directory: str) -> DataFrame:
 # Supported counties per state.
 STATE_COUNTIES = {"ohio": ("ohio-butler", "ohio-clermont", "ohio-hamilton")}
 
-Loader = Callable[[SparkSession, str, dt.date], DataFrame]
+Loader = Callable[[SparkSession, str, dt.date, bool], DataFrame]
 
 LOADERS: Mapping[str, Loader] = {
     "ohio-butler": read_cama,
     "ohio-clermont": read_cama,
-    "ohio-hamilton": lambda spark, directory, as_of: read_transfers(spark, directory),
+    "ohio-hamilton": lambda spark, directory, as_of, assessed: read_transfers(spark, directory),
 }
 
 
@@ -207,14 +213,19 @@ def tag_county(df: DataFrame, county: str) -> DataFrame:
     )
 
 
-def load_county(spark: SparkSession, county: str, directory: str, as_of: dt.date) -> DataFrame:
+def load_county(
+    spark: SparkSession, county: str, directory: str, as_of: dt.date, assessed: bool = True
+) -> DataFrame:
     if county not in LOADERS:
         raise ValueError(f"unknown county {county}")
-    return tag_county(LOADERS[county](spark, directory, as_of), county)
+    return tag_county(LOADERS[county](spark, directory, as_of, assessed), county)
 
 
-def stacked_counties(spark: SparkSession, state: str, landing: str, as_of: dt.date) -> DataFrame:
-    return stack_formats([load_county(spark, c, f"{landing}/{c}", as_of) for c in STATE_COUNTIES[state]])
+def stacked_counties(
+    spark: SparkSession, state: str, landing: str, as_of: dt.date, assessed: bool = True
+) -> DataFrame:
+    """All rows of all counties of a state. The history needs no ``assessed`` values of the county files."""
+    return stack_formats([load_county(spark, c, f"{landing}/{c}", as_of, assessed) for c in STATE_COUNTIES[state]])
 
 
 def load_state(spark: SparkSession, state: str, landing: str, as_of: dt.date) -> DataFrame:

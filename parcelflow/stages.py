@@ -48,10 +48,10 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root}/{versions[-1]}") if versions else None
 
 
-def write_next(df: DataFrame, root: str) -> str:
+def write_next(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write ``df`` as the next version. The one it was computed from stays readable meanwhile."""
     versions = _versions(df.sparkSession, root)
     number = int(versions[-1].split("=")[1]) + 1 if versions else 1
     path = f"{root}/version={number:06d}"
-    write_stage(df, path)
+    write_stage(df, path, partition_by)
     return path
