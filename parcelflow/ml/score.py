@@ -34,7 +34,9 @@ def score_sales(df: DataFrame, classifier, features: Sequence[str], name: str =
     return scored.withColumn(name, vector_to_array("probability")[1]).drop(*_MODEL_COLUMNS)
 
 
-def score_prices(df: DataFrame, regressor, features: Sequence[str], interval: float = INTERVAL, name: str = PRICE) -> DataFrame:
+def score_prices(
+    df: DataFrame, regressor, features: Sequence[str], interval: float = INTERVAL, name: str = PRICE
+) -> DataFrame:
     """Price rounded to ten thousands, with its interval."""
     scored = _transform(df, regressor, features)
     priced = scored.withColumn(name, round_ten_thousands("prediction")).drop(*_MODEL_COLUMNS)

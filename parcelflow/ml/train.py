@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -73,7 +73,7 @@ def train(
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
     search = CrossValidator(
         estimator=pipeline,
-        estimatorParamMaps=settings or ParamGridBuilder().build(),
+        estimatorParamMaps=settings,
         evaluator=scorer,
         numFolds=folds,
         seed=seed,

@@ -79,7 +79,11 @@ def guard_labels(train: DataFrame, is_leak: Column) -> DataFrame:
 class Splits:
     test: DataFrame
     train: DataFrame
-    train_price: DataFrame
+
+    @property
+    def train_price(self) -> DataFrame:
+        """Training rows of the price model: those with a price that was paid in a good sale."""
+        return self.train.where(F.col(PRICE_LABEL).isNotNull() & null_or_equal("next_good_sale", 1))
 
 
 def split_panel(
@@ -97,11 +101,7 @@ def split_panel(
     sold = F.max(F.coalesce(sells_in_test(calendar, tenure), F.lit(False))).over(W.partitionBy(*keys))
     marked = sales.withColumn("_leak", sold)
     guarded = guard_labels(train_panel(marked, calendar, tenure), F.col("_leak")).drop("_leak")
-    return Splits(
-        test=test_panel(sales, calendar, tenure),
-        train=guarded,
-        train_price=guarded.where(F.col(PRICE_LABEL).isNotNull() & null_or_equal("next_good_sale", 1)),
-    )
+    return Splits(test_panel(sales, calendar, tenure), guarded)
 
 
 def modelling_rows(

@@ -136,8 +136,9 @@ def evaluate(splits: Splits, dictionary: DataFrame, models: dict, config: Foreca
     for name, (sale_panel, sale_kept, price_panel, price_kept) in panels.items():
         rows = modelling_rows(encoded_categories(sale_panel, dictionary), LABEL, sale_kept)
         scored = score.score_sales(rows, models[LABEL], sale_columns)
+        scored = checkpointed(scored.select(LABEL, score.SCORE))  # scored once for all tables below
         hard = scored.withColumn("predicted", (F.col(score.SCORE) > config.threshold).cast("int"))
-        result[f"{name}_balance"] = label_balance(rows, LABEL)
+        result[f"{name}_balance"] = label_balance(scored, LABEL)
         result[f"{name}_classification"] = metrics.classification_metrics(hard, LABEL, "predicted")
         result[f"{name}_report"] = metrics.class_report(hard, LABEL, "predicted")
         result[f"{name}_crosstab"] = metrics.crosstab(hard, LABEL, "predicted")
@@ -200,12 +201,11 @@ def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
     """Train, evaluate, predict and save; returns the newest version of the prediction table."""
     raw = spark.read.parquet(config.etl.path("1-raw"))
     dictionary = spark.read.parquet(config.etl.path("2-dictionary"))
-    splits = prepare(raw, config)
-    panels = {
-        name: stages.stage(spark, config.etl.path(f"3-prepared/{name}"), lambda panel=panel: panel)
-        for name, panel in {"test": splits.test, "train": splits.train, "train_price": splits.train_price}.items()
-    }
-    splits = Splits(**panels)
+    fresh = prepare(raw, config)
+    splits = Splits(
+        test=stages.stage(spark, config.etl.path("3-prepared/test"), lambda: fresh.test),
+        train=stages.stage(spark, config.etl.path("3-prepared/train"), lambda: fresh.train),
+    )
     train_models(splits, dictionary, config)
     models = {label: load_model(config.model_path(label)) for label in (LABEL, PRICE_LABEL)}
     for name, table in evaluate(splits, dictionary, models, config).items():

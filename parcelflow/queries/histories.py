@@ -185,7 +185,8 @@ def parcel_sources(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.max("l_extendedprice").alias("AssessorLastSaleAmount"),
     )
     digits, nation = F.lpad(F.col("c_custkey").cast("string"), 9, "0"), F.col("c_nationkey")
-    written = F.concat(F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 3), F.lit("."), F.substring(digits, 7, 3))
+    first, second, third = (F.substring(digits, i, 3) for i in (1, 4, 7))
+    written = F.concat(first, F.lit("-"), second, F.lit("."), third)
     suffix = F.when(nation == 3, " llc").otherwise("")
     text_columns = ("PropertyAddressCity", "PropertyAddressZIP", "SitusCounty", "SitusStateCode", "NeighborhoodCode",
                     "CompanyFlag", "OwnerTypeDescription1", "PropertyUseGroup")

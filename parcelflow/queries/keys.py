@@ -133,7 +133,8 @@ def right_join_info(t: Tables) -> DataFrame:
 def enrich_latest(t: Tables) -> DataFrame:
     sales = yearly_orders(t).select(pad_left("o_custkey", 6).alias("parcel"), "o_orderkey", "o_orderdate")
     digits = pad_left("user_id", 6)
-    written = F.concat(F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 2), F.lit("."), F.substring(digits, 6, 1))
+    first, second, third = F.substring(digits, 1, 3), F.substring(digits, 4, 2), F.substring(digits, 6, 1)
+    written = F.concat(first, F.lit("-"), second, F.lit("."), third)
     attributes = t.events.select(written.alias("raw_id"), "ts", "event_id", "event_type", "value")
     joined = enrich.attach_by_normalized_id(sales, attributes, "parcel", "raw_id", ["ts", "event_id"])
     return joined.drop("ts", "event_id")

@@ -15,7 +15,6 @@ from parcelflow.plans.forecast import PUBLISHED, publish
 from parcelflow.queries.histories import chain_sql, parcel_sources
 from parcelflow.queries.keys import YEARLY_SQL, yearly_orders
 from parcelflow.queries.registry import Tables, query
-from parcelflow.plans import etl
 
 AS_OF = dt.date(2002, 1, 1)
 CALENDAR = run_calendar("2001-03-01", AS_OF)
