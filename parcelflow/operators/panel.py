@@ -27,13 +27,14 @@ def month_panel(
     start: dt.date | None = None,
     end: dt.date | None = None,
     min_tenure_years: int = 0,
+    max_tenure_years: int | None = None,
     horizons: Sequence[int] = HORIZONS,
     cap_years: int = 25,
 ) -> DataFrame:
     """Expand events to months, from the event's month up to the month before the next event (or ``as_of``).
 
-    The bounds ``start``, ``end`` and ``min_tenure_years`` set where the month sequence starts and stops, so
-    months outside of them are never generated. No shuffle: each row is expanded on its own.
+    The date and tenure bounds set where the month sequence starts and stops, so months outside of them are
+    never generated. No shuffle: each row is expanded on its own.
     """
     opened = dates.sale_month(date)
     closed = F.trunc(F.coalesce(F.col(next_date), F.lit(as_of)), "MM")
@@ -42,6 +43,8 @@ def month_panel(
         first = F.add_months(first, 12 * min_tenure_years)
     if start is not None:
         first = F.greatest(first, F.lit(start.replace(day=1) if start.day == 1 else _next_month(start)))
+    if max_tenure_years is not None:
+        last = F.least(last, F.add_months(F.col("_opened"), 12 * max_tenure_years + 11))
     if end is not None:
         last = F.least(last, F.lit(end.replace(day=1)))
 

@@ -16,10 +16,10 @@ _ROW, _SLICE, _BEFORE = "_row", "_slice", "_before"
 def _sorted_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """``df`` cut into sorted ranges of similar size, with the row's place in ``_row`` and its range in ``_slice``.
 
-    The ranges come from a sample, so they are fixed by a checkpoint before anything is counted on them.
+    The ranges come from a sample, and small ones are merged with their neighbours at run time, so they are
+    fixed by a checkpoint before anything is counted on them.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = checkpointed(ranged.withColumn(_ROW, F.monotonically_increasing_id()))
     return numbered.withColumn(_SLICE, F.shiftright(_ROW, 33))
 

@@ -35,7 +35,7 @@ def test_panel(
     eligible = sales.where(null_or_equal("next_good_sale", 1))
     day = calendar.test_date
     panel = month_panel(
-        eligible, "last_sale_date", "next_sale_date", calendar.as_of, day, day, tenure[0], horizons
+        eligible, "last_sale_date", "next_sale_date", calendar.as_of, day, day, *tenure, horizons
     )
     return panel.where(in_window(day, day, tenure))
 
@@ -47,7 +47,7 @@ def train_panel(
     eligible = sales.where(null_or_equal("next_good_sale", 1))
     start, end = calendar.train_start, calendar.train_end
     panel = month_panel(
-        eligible, "last_sale_date", "next_sale_date", calendar.as_of, start, end, tenure[0], horizons
+        eligible, "last_sale_date", "next_sale_date", calendar.as_of, start, end, *tenure, horizons
     )
     return panel.where(in_window(start, end, tenure))
 

@@ -108,9 +108,9 @@ def test_bounded_panel_is_the_filtered_panel(spark):
     df = spark.createDataFrame(sales, "k int, d date, n date")
     start, end, as_of = D(1999, 4, 1), D(2012, 7, 31), D(2015, 2, 1)
     naive = panel.month_panel(df, "d", "n", as_of).where(
-        (F.col("date") >= start) & (F.col("date") <= end) & (F.col("tenure_months") >= 24)
+        (F.col("date") >= start) & (F.col("date") <= end) & F.col("tenure_years").between(2, 8)
     )
-    bounded = panel.month_panel(df, "d", "n", as_of, start, end, 2)
+    bounded = panel.month_panel(df, "d", "n", as_of, start, end, 2, 8)
     columns = naive.columns
     assert bounded.count() == naive.count() > 0
     assert bounded.select(columns).exceptAll(naive).count() == 0
