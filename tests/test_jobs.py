@@ -10,10 +10,11 @@ from landing import sample_parcels, write_landing
 from pyspark.sql import functions as F
 
 from parcelflow import stages
+from parcelflow.__main__ import parse
 from parcelflow.checkpoints import checkpointed
 from parcelflow.ml import score
 from parcelflow.operators.splits import LABEL
-from parcelflow.plans import etl, forecast
+from parcelflow.plans import etl, explore, forecast
 
 D = dt.date
 RUN, AS_OF = D(2022, 3, 1), D(2022, 12, 1)
@@ -110,3 +111,22 @@ def test_later_sales_fill_open_predictions(spark, config, published):
     assert others.where("actualSaleDate is not null").count() == published.where(
         (F.col("parcel") != sold.key) & F.col("actualSaleDate").isNotNull()
     ).count()
+
+
+def test_exploration(spark, config, published):
+    train = spark.read.parquet(config.path("3-prepared/train"))
+    profiles = explore.describe(train.select("total_sales", "AreaBuilding", "PropertyUseGroup"))
+    assert {r["column"] for r in profiles["numeric"].collect()} == {"total_sales", "AreaBuilding"}
+    assert profiles["text"].first()["top"] in ("Condo", "Residential")
+    rows = explore.label_correlations(train.select(LABEL, "sale_in_6_months", "AreaBuilding", "month")).collect()
+    with_self = {r["column"]: r["correlation"] for r in rows if r["other"] == LABEL}
+    assert with_self[LABEL] == 1.0 and with_self["sale_in_6_months"] > 0.3
+    model = forecast.load_model(forecast.ForecastConfig(config).model_path(LABEL))
+    dictionary = spark.read.parquet(config.path("2-dictionary"))
+    ranked = explore.sale_importance(train, dictionary, model).collect()
+    assert [r["feature"] for r in ranked] and len(ranked) == len(forecast.SALE_FEATURES)
+
+
+def test_command_line():
+    options = parse(["etl", "--root", "/x", "--run-date", "2022-03-01"])
+    assert (options.job, options.state, options.run_date, options.as_of) == ("etl", "ohio", RUN, None)
