@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.operators.joins import spread_join
+from parcelflow.operators.joins import hot_keys, spread_join
 from parcelflow.operators.positions import with_position
 
 MISSING = "nan"  # fixed value: the text that stands for a missing category
@@ -32,18 +32,20 @@ def dictionary_bytes(dictionary: DataFrame) -> dict[str, int]:
     return {r["column"]: r["bytes"] for r in dictionary.groupBy("column").agg(size).collect()}
 
 
-def _look_up(df: DataFrame, side: DataFrame, key: str, size: int) -> DataFrame:
+def _look_up(df: DataFrame, side: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """``df`` with the dictionary column joined on ``_key``; ``keys`` holds the keys of ``df`` before other look-ups."""
     if size <= BROADCAST_BYTES:
-        return df.join(F.broadcast(side), key, "left")
-    return spread_join(df, side, [key], "left")
+        return df.join(F.broadcast(side), "_key", "left")
+    return spread_join(df, side, ["_key"], "left", hot=hot_keys(keys, ["_key"]))
 
 
 def encode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Replace the columns by their codes (or add ``column + suffix``). An unseen value is an error."""
-    sizes = dictionary_bytes(dictionary)
+    sizes, plain = dictionary_bytes(dictionary), df
     for c in columns:
         side = dictionary.where(F.col("column") == c).select(F.col("value").alias("_key"), F.col("code").alias("_code"))
-        found = _look_up(df.withColumn("_key", _as_text(c)), side, "_key", sizes.get(c, 0))
+        key = _as_text(c)
+        found = _look_up(df.withColumn("_key", key), side, plain.select(key.alias("_key")), sizes.get(c, 0))
         unseen = F.raise_error(F.concat(F.lit(f"value not in the dictionary of {c}: "), F.col("_key")))
         code = F.coalesce(F.col("_code"), unseen.cast("int"))
         df = found.withColumn(c + suffix, code).drop("_key", "_code")
@@ -52,10 +54,11 @@ def encode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix:
 
 def decode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Replace codes by their text; the code of a missing value becomes NULL."""
-    sizes = dictionary_bytes(dictionary)
+    sizes, plain = dictionary_bytes(dictionary), df
     for c in columns:
         side = dictionary.where(F.col("column") == c).select(F.col("code").alias("_key"), F.col("value").alias("_value"))
-        found = _look_up(df.withColumn("_key", F.col(c + suffix).cast("int")), side, "_key", sizes.get(c, 0))
+        key = F.col(c + suffix).cast("int")
+        found = _look_up(df.withColumn("_key", key), side, plain.select(key.alias("_key")), sizes.get(c, 0))
         text = F.when(F.col("_value") != MISSING, F.col("_value"))
         df = found.withColumn(c + suffix, text).drop("_key", "_value")
     return df

@@ -34,14 +34,18 @@ def spread_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``big`` to a side with one row per key (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
     Rows of a hot key are dealt out by the partition they come from, and the single row they match is
     copied to each share. All other keys join as usual. Rows without a key match nothing and are dealt out
-    too. The list of hot keys is broadcast: its length is bounded by ``hot_rows`` (see ``hot_keys``).
+    too. The list of hot keys is broadcast: its length is bounded by ``hot_rows`` (see ``hot_keys``). Where
+    ``big`` is costly to compute, pass ``hot``, the hot keys of a table that ``big`` was reduced from.
     """
-    hot = F.broadcast(hot_keys(big, keys, hot_rows).withColumn(_HOT, F.lit(True)))
+    if hot is None:
+        hot = hot_keys(big, keys, hot_rows)
+    hot = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
     spread = F.col(_HOT) | ~_known(keys)
     share = F.when(spread, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
     copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -95,9 +99,16 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str = "total_sales") ->
     return df.where(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def with_key_count(df: DataFrame, keys: Sequence[str], name: str = "total_sales", **spread) -> DataFrame:
-    """Every row with the number of rows of its key. Rows without a key are dropped."""
-    return spread_join(df, key_counts(df, keys, name), keys, "inner", **spread)
+def with_key_count(
+    df: DataFrame, keys: Sequence[str], name: str = "total_sales", hot_rows: int = HOT_ROWS, salts: int = SALTS
+) -> DataFrame:
+    """Every row with the number of rows of its key. Rows without a key are dropped.
+
+    The counts also tell which keys are hot, so they are computed once for both.
+    """
+    counts = key_counts(df, keys, name)
+    hot = counts.where(F.col(name) > hot_rows).select(*keys)
+    return spread_join(df, counts, keys, "inner", salts=salts, hot=hot)
 
 
 def with_key_count_window(df: DataFrame, keys: Sequence[str], name: str = "total_sales") -> DataFrame:

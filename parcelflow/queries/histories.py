@@ -114,7 +114,8 @@ def owner_chain(t: Tables) -> DataFrame:
     daily = dedup.first_per_key_date(lines, ["l_suppkey"], "l_shipdate", LINE_TIES)
     suffix = F.when(F.col("p_type") == "ECONOMY", " llc").otherwise("")
     names = t.part.select(F.col("p_partkey").alias("l_partkey"), F.concat("p_name", suffix).alias("owner"))
-    owned = joins.spread_join(daily, names, ["l_partkey"], "left").select(
+    hot = joins.hot_keys(t.lineitem, ["l_partkey"])
+    owned = joins.spread_join(daily, names, ["l_partkey"], "left", hot=hot).select(
         "l_suppkey", F.col("l_shipdate").alias("sold"), "owner", F.col("l_extendedprice").alias("price")
     )
     return history.sale_chain(owned, ["l_suppkey"], "sold", "owner", "price")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import dates, numbers, text
 from parcelflow.operators.dedup import first_by, first_per_key_date, latest_per_key
-from parcelflow.operators.joins import members, positive, spread_join
+from parcelflow.operators.joins import positive, spread_join
 from parcelflow.sources import layouts
 from parcelflow.sources.delimited import read_headerless, read_with_header, stack_formats, without_repeated_headers
 from parcelflow.sources.fixed_width import read_fixed_width
@@ -59,16 +59,18 @@ def _latest_assessment(assessments: DataFrame) -> DataFrame:
 def cama_rows(parcels: DataFrame, assessments: DataFrame | None, sales: DataFrame) -> DataFrame:
     """Sales of known parcels with the latest assessment of the parcel.
 
-    A parcel without a sale has no price and would be dropped next, so the parcel list only selects sales,
-    and assessments are reduced to one row per parcel first. Neither side can then multiply rows. Without
-    ``assessments`` the assessed columns are missing, which saves a join that the history does not need.
+    A parcel without a sale has no price and would be dropped next, so the parcel list only selects sales.
+    Assessments are reduced to one row per parcel and joined to the list first: the sales are shuffled once,
+    and no row is multiplied. Without ``assessments`` the assessed columns are missing, which saves work that
+    the history does not need.
     """
-    rows = members(sales, parcels, ["Parid"])
+    known = parcels.select("Parid").distinct()
     if assessments is None:
         missing = {c: F.lit(None).cast("double") for c in ("Aprland", "Aprbldg")}
-        rows = rows.withColumns({**missing, "Class_asmt": F.lit(None).cast("string")})
+        known = known.withColumns({**missing, "Class_asmt": F.lit(None).cast("string")})
     else:
-        rows = spread_join(rows, _latest_assessment(assessments), ["Parid"], "left")
+        known = known.join(_latest_assessment(assessments), "Parid", "left")
+    rows = spread_join(sales, known, ["Parid"])
     renamed = rows.withColumnsRenamed(
         {
             "Own1": "Owner Name 1",
