@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.dates import january_first
-from parcelflow.operators import dedup, history, joins
+from parcelflow.functions.text import normalize_id
+from parcelflow.operators import dedup, enrich, history, joins
 from parcelflow.plans import etl
 from parcelflow.queries.keys import LINE_TIES, YEARLY_SQL, yearly_orders
 from parcelflow.queries.registry import Tables, query
@@ -121,13 +122,7 @@ def owner_chain(t: Tables) -> DataFrame:
     return history.sale_chain(owned, ["l_suppkey"], "sold", "owner", "price")
 
 
-PARCEL_HISTORY_SQL = f"""
-    WITH yearly AS (
-        SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS parid, CAST(o_orderdate AS DATE) AS sold, o_totalprice AS price
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate)
-                                           ORDER BY o_orderdate DESC, o_totalprice DESC) AS rn
-              FROM orders WHERE o_totalprice > 0)
-        WHERE rn = 1),
+ASSESSOR_SQL = """
     shipped AS (
         SELECT o_custkey, CAST(min(l_shipdate) AS DATE) AS assr_date, CAST(max(l_shipdate) AS DATE) AS updated,
                max(l_extendedprice) AS amount
@@ -143,7 +138,17 @@ PARCEL_HISTORY_SQL = f"""
                c_mktsegment || CASE c_nationkey WHEN 3 THEN ' llc' ELSE '' END AS owner, c_acctbal * 100 AS market,
                c_nationkey AS baths, estimated
         FROM customer LEFT JOIN shipped ON o_custkey = c_custkey LEFT JOIN valued ON user_id = c_custkey
-        WHERE assr_date IS NOT NULL AND year(assr_date) >= 1983 + c_nationkey),
+        WHERE assr_date IS NOT NULL AND year(assr_date) >= 1983 + c_nationkey)
+"""
+
+PARCEL_HISTORY_SQL = f"""
+    WITH yearly AS (
+        SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS parid, CAST(o_orderdate AS DATE) AS sold, o_totalprice AS price
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate)
+                                           ORDER BY o_orderdate DESC, o_totalprice DESC) AS rn
+              FROM orders WHERE o_totalprice > 0)
+        WHERE rn = 1),
+    {ASSESSOR_SQL},
     joined AS (
         SELECT y.parid, y.sold, y.price, assr_date, amount, built, c_name, owner, market, baths, estimated,
                round_even(market / 25000, 0) * 25000 AS market_rounded
@@ -219,6 +224,26 @@ def parcel_sources(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     return sales, assessor, latest
 
 
+@query(
+    "assessor_valuation",
+    f"""
+    WITH {ASSESSOR_SQL}
+    SELECT parid, CAST(assr_date AS VARCHAR) AS assr_date, amount, built, owner, market, estimated FROM assessor
+    """,
+)
+def assessor_valuation(t: Tables) -> DataFrame:
+    _, assessor, valuations = parcel_sources(t)
+    return enrich.assessor_with_valuation(assessor, valuations).select(
+        normalize_id("ParcelNumberRaw").alias("parid"),
+        F.col("AssessorLastSaleDate").alias("assr_date"),
+        F.col("AssessorLastSaleAmount").alias("amount"),
+        F.col("YearBuilt").alias("built"),
+        F.col("PartyOwner1NameFull").alias("owner"),
+        F.col("TaxMarketValueTotal").alias("market"),
+        F.col("EstimatedValue").alias("estimated"),
+    )
+
+
 @query("parcel_history", PARCEL_HISTORY_SQL)
 def parcel_history(t: Tables) -> DataFrame:
     full = etl.build_history(*parcel_sources(t))

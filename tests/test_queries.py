@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import plan_of
 
@@ -34,6 +36,34 @@ def test_entry(spark):
     assert panel.count() > 0
 
 
+def test_chain_windows_share_one_shuffle(spark):
+    """Neighbours, flags of neighbours and the running number: one exchange by parcel, after the reductions."""
+    plan = plan_of(driver.queries()["parcel_history"](spark, FOLDER)).split("Physical Plan")[1]
+    by_parcel = re.findall(r"Exchange hashpartitioning\(Parid#\d+, \d+\)", plan)
+    assert len(by_parcel) == 1
+    assert plan.count("row_number(), 1, Partial") == 4  # sales, history, assessor rows, valuations
+
+
+def test_leak_guard_needs_no_join(spark):
+    plan = plan_of(driver.queries()["leak_guard"](spark, FOLDER)).split("Physical Plan")[1]
+    assert "Join" not in plan
+    assert plan.count("Exchange") == 2  # last sale per year, then by customer
+
+
+def test_panel_bounds_reach_the_sequence(spark):
+    """Months outside of the bounds are not generated."""
+    plan = plan_of(driver.queries()["train_split"](spark, FOLDER)).split("Physical Plan")[1]
+    generate = next(line for line in plan.split("\n") if "Generate explode" in line)
+    assert "1999-09-01" in generate and "2000-09-01" in generate and "add_months" in generate
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = plan_of(driver.queries()["current_snapshot"](spark, FOLDER)).split("Physical Plan")[1]
+    assert "LessThan(o_orderdate,2000-07-01" in plan
+    plan = plan_of(driver.queries()["key_counts"](spark, FOLDER)).split("Physical Plan")[1]
+    assert "ReadSchema: struct<l_suppkey:bigint>" in plan
+
+
 def test_same_rows_after_reshuffling(spark, tmp_path):
     """Ties are settled by value, so the order of the input does not matter."""
     for table in ("orders", "lineitem", "part", "customer", "events"):

@@ -71,6 +71,15 @@ def test_hot_copies_are_divided_too(no_adaptive, spark, sides):
     assert largest_share(spread) < 0.5
 
 
+def test_rows_without_a_key_are_divided(no_adaptive, spark, sides):
+    keyless = spark.range(0, ROWS, 1, 8).select(F.when(F.col("id") % 2 == 0, F.col("id") % 900).alias("k"), "id")
+    plain = keyless.join(sides, "k", "left")
+    spread = joins.spread_join(keyless, sides, ["k"], "left", salts=64)
+    assert largest_share(plain) > 0.5
+    assert largest_share(spread) < 0.2
+    assert content(spread) == content(plain)
+
+
 def test_members_and_counts_with_a_hot_key(hot, sides):
     options = {"hot_rows": 1000, "salts": 8}
     doubled = sides.select("k").unionAll(sides.select("k"))  # repeated members do not repeat rows
