@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.checkpoints import checkpointed
 from parcelflow.ml.score import SCORE, score_sales
-from parcelflow.operators.positions import with_position
+from parcelflow.operators.positions import with_position, with_row_place
 
 _UNCHANGED = ""
 
@@ -18,16 +18,13 @@ _UNCHANGED = ""
 def shuffled_copy(df: DataFrame, columns: Sequence[str], seed: int) -> DataFrame:
     """Each row plus the values that ``columns`` have in another row, as ``_other_<column>``.
 
-    A true permutation: rows are numbered in their own order and in a hashed order, and matched by number.
+    A true permutation: rows are numbered as they lie and in a hashed order, and matched by number.
     """
-    ids = checkpointed(df.withColumn("_id", F.monotonically_increasing_id()))
-    one = F.lit(0).alias("_all")
-    own = with_position(ids.select("*", one), ["_all"], ["_id"], "_place")
-    mixed = ids.select(
-        one, F.xxhash64(F.lit(seed), "_id").alias("_mix"), "_id", *[F.col(c).alias(f"_other_{c}") for c in columns]
-    )
-    other = with_position(mixed, ["_all"], ["_mix", "_id"], "_place").drop("_all", "_mix", "_id")
-    return own.join(other, "_place").drop("_place", "_all", "_id")
+    own = with_row_place(df, "_place")
+    others = [F.col(c).alias(f"_other_{c}") for c in columns]
+    mixed = own.select(F.xxhash64(F.lit(seed), "_place").alias("_mix"), F.col("_place").alias("_id"), *others)
+    other = with_position(mixed, [], ["_mix", "_id"], "_place").drop("_mix", "_id")
+    return own.join(other, "_place").drop("_place")
 
 
 def permutation_importance(

@@ -13,15 +13,18 @@ from parcelflow.checkpoints import checkpointed
 _ROW, _SLICE, _BEFORE = "_row", "_slice", "_before"
 
 
-def _sorted_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``df`` cut into sorted ranges of similar size, with the row's place in ``_row`` and its range in ``_slice``.
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with the place of a row inside the whole table in ``_row`` and its partition in ``_slice``.
 
-    The ranges come from a sample, and small ones are merged with their neighbours at run time, so they are
-    fixed by a checkpoint before anything is counted on them.
+    Partitions may be cut differently when they are computed again, so they are fixed by a checkpoint before
+    anything is counted on them.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = checkpointed(ranged.withColumn(_ROW, F.monotonically_increasing_id()))
-    return numbered.withColumn(_SLICE, F.shiftright(_ROW, 33))
+    return checkpointed(df.withColumn(_ROW, F.monotonically_increasing_id())).withColumn(_SLICE, F.shiftright(_ROW, 33))
+
+
+def _sorted_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` cut into sorted ranges of similar size."""
+    return _numbered(df.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
 def _slice_offsets(numbered: DataFrame, group: Sequence[str], weight: Column) -> DataFrame:
@@ -34,17 +37,25 @@ def _slice_offsets(numbered: DataFrame, group: Sequence[str], weight: Column) ->
     return sizes.withColumn(_BEFORE, F.coalesce(F.sum("_inside").over(earlier), F.lit(0)))
 
 
+def _placed(numbered: DataFrame, group: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    offsets = _slice_offsets(numbered, group, F.lit(1)).select(*group, _SLICE, "_first", _BEFORE)
+    placed = numbered.join(F.broadcast(offsets), [*group, _SLICE])
+    place = F.col(_ROW) - F.col("_first") + F.col(_BEFORE)
+    return placed.withColumn(name, place).select(*columns, name)
+
+
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
     """Add the 0-based place of each row among the rows of its group, sorted by ``order``.
 
     ``group`` and ``order`` together must identify a row. ``group`` must have few values (such as a column
-    name); a group may have any number of rows.
+    name) and may be empty; a group may have any number of rows.
     """
-    numbered = _sorted_slices(df, [*group, *order])
-    offsets = _slice_offsets(numbered, group, F.lit(1)).select(*group, _SLICE, "_first", _BEFORE)
-    placed = numbered.join(F.broadcast(offsets), [*group, _SLICE])
-    place = F.col(_ROW) - F.col("_first") + F.col(_BEFORE)
-    return placed.withColumn(name, place).select(*df.columns, name)
+    return _placed(_sorted_slices(df, [*group, *order]), group, df.columns, name)
+
+
+def with_row_place(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number all rows from 0, in the order in which they lie; nothing is shuffled."""
+    return _placed(_numbered(df), [], df.columns, name)
 
 
 def values_at(

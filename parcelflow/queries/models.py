@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from parcelflow.checkpoints import checkpointed
@@ -58,8 +60,10 @@ def train_regressor(t: Tables) -> DataFrame:
 def cascade_score(t: Tables) -> DataFrame:
     """Prices for the test rows that the sale model finds likely."""
     panels = _panels(t)
+    with ThreadPoolExecutor(max_workers=2) as pool:  # both models train side by side
+        sale, price = (pool.submit(fit, panels) for fit in (_sale_model, _price_model))
     scored = score.cascade_score(
-        panels.test, _sale_model(panels), _price_model(panels), SALE_FEATURES, PRICE_FEATURES, threshold=0.2
+        panels.test, sale.result(), price.result(), SALE_FEATURES, PRICE_FEATURES, threshold=0.2
     )
     return scored.select("customer", "date", score.SCORE, score.PRICE)
 
