@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import substrings
+from parcelflow.llm import substrings, suffixes
 from parcelflow.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,13 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, folder, "documents"), length=50)
     digest = F.when(F.col("kept").isNull(), F.col("words_sha256")).otherwise(F.sha2("kept", 256))
     return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+_BENCHMARK_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query("op1_benchmark_decontamination")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = suffixes.counted(suffixes.matches(docs, items, size=13, keep=["doc_id"]))
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
