@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import substrings, suffixes
+from parcelflow.llm import substrings, suffixes, tokens
 from parcelflow.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,17 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     found = suffixes.counted(suffixes.matches(docs, items, size=13, keep=["doc_id"]))
     return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def _definition(name: str) -> str:
+    """Content of an installed tokenizer file, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query("op10_token_counts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    counts = tokens.token_counts(table(spark, folder, "documents"), _definition("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)

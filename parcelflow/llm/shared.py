@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow.checkpoints import ensure_checkpoint_dir
 
@@ -43,7 +44,7 @@ def row_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LAST_ID))
 
 
-def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """``function`` over the Arrow batches of ``df``; each makes any number of batches."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
