@@ -197,7 +197,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int = 13, keep: list[str] |
         sent = spark.sparkContext.broadcast(Items([r["id"] for r in got], [r["text"] for r in got], size))
         columns = keep if place + 1 == len(blocks) else wanted
         kind = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in columns])
-        schema = T.StructType().add("row", kind).add("n_words", "long").add("matches", f"array<{_MATCH}>")
+        schema = T.StructType().add("row", kind).add("n_words", "long").add("matches", T.DataType.fromDDL(f"array<{_MATCH}>"))
         out = mapped(out.select("row", *["matches"] * (place > 0)), _scan(sent, place > 0, columns), schema)
     return out
 
