@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import substrings, suffixes, tokens
-from parcelflow.llm.shared import table
+from parcelflow.llm import near, substrings, suffixes, tokens
+from parcelflow.llm.shared import LAST_ID, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,10 @@ def _definition(name: str) -> str:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     counts = tokens.token_counts(table(spark, folder, "documents"), _definition("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query("op8_near_duplicates")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.classes(table(spark, folder, "documents").select("doc_id", "text"))
+    ids = [F.when(F.col(c) < LAST_ID, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("class_id", "class_id"))]
+    return found.select(*ids, F.col("size").alias("n_shingles"), "kept")
