@@ -33,8 +33,11 @@ SHARED = 2
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 
 
-def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled shingles of all texts and where those of each text begin; a short text is one shingle of all its words."""
+def shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labelled shingles of all texts, where those of each text begin, and which are first occurrences.
+
+    A text with fewer words than a shingle is one shingle of all its words.
+    """
     hashes, counts = words.hashes(), words.counts
     sizes = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
     first = np.concatenate(([0], np.cumsum(sizes)))
@@ -58,7 +61,7 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     nth = np.arange(len(by)) - np.repeat(start, np.diff(np.append(start, len(by))))
     label = np.empty(len(by), np.uint64)
     label[by] = nth.astype(np.uint64)
-    return paired(out, label), first
+    return paired(out, label), first, label == 0
 
 
 def sketches(text: np.ndarray) -> np.ndarray:
@@ -106,10 +109,18 @@ def similarity(left: np.ndarray, right: np.ndarray) -> float:
     return same / (len(left) + len(right) - same) if same else 0.0
 
 
+def alike(left: np.ndarray, right: np.ndarray, left_new: np.ndarray, right_new: np.ndarray) -> bool:
+    """Whether two texts are similar enough, by all their shingles or by the first occurrences of each alone.
+
+    The second keeps a line that is repeated many times from outweighing the rest of a text.
+    """
+    return similarity(left, right) >= SIMILARITY or similarity(left[left_new], right[right_new]) >= SIMILARITY
+
+
 def _describe(batch: pa.RecordBatch):
     for row, texts in pieces(batch, batch["text"], PIECE_BYTES):
         words = Words(texts, SPACED)
-        labelled, first = shingles(words)
+        labelled, first, _ = shingles(words)
         each = [sketches(labelled[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         digests = [
             hashlib.sha256(b" ".join(words.data[a:b].tobytes().split())).digest()
@@ -130,13 +141,13 @@ def _describe(batch: pa.RecordBatch):
 def _verify(batch: pa.RecordBatch):
     for row, texts in pieces(batch, batch["left_text"], PIECE_BYTES):
         here = batch.slice(row, len(texts))
-        left, first = shingles(Words(texts, SPACED))
-        right, second = shingles(Words(here["right_text"].cast(pa.large_string()).fill_null(""), SPACED))
-        alike = [
-            similarity(left[first[i] : first[i + 1]], right[second[i] : second[i + 1]]) >= SIMILARITY
-            for i in range(len(texts))
-        ]
-        yield pa.record_batch([here["leader"], here["node"]], ["leader", "node"]).filter(pa.array(alike))
+        left, first, left_new = shingles(Words(texts, SPACED))
+        right, second, right_new = shingles(Words(here["right_text"].cast(pa.large_string()).fill_null(""), SPACED))
+        linked = []
+        for i in range(len(texts)):
+            a, b = slice(first[i], first[i + 1]), slice(second[i], second[i + 1])
+            linked.append(alike(left[a], right[b], left_new[a], right_new[b]))
+        yield pa.record_batch([here["leader"], here["node"]], ["leader", "node"]).filter(pa.array(linked, pa.bool_()))
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -160,7 +171,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def _links(members: DataFrame, sketch: DataFrame, texts: DataFrame, rounds: int) -> DataFrame:
-    """Verified links inside of buckets. ``members``: key, node, weight; ``sketch``: node, size, sketch."""
+    """Verified links inside of buckets. ``members``: key, node, weight; ``sketch``: node, sketch."""
     spark, links, tested, labels, bucket = members.sparkSession, None, None, None, None
     for _ in range(rounds):
         labelled = members.withColumn("label", F.col("node"))
@@ -183,11 +194,11 @@ def _links(members: DataFrame, sketch: DataFrame, texts: DataFrame, rounds: int)
         pairs = labelled.join(bucket, "key").where("label != leader_label").select("leader", "node").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "node"], "left_anti")
-        a = sketch.select(F.col("node").alias("leader"), F.col("size").alias("n"), F.col("sketch").alias("x"))
-        b = sketch.select("node", F.col("size").alias("m"), F.col("sketch").alias("y"))
+        a = sketch.select(F.col("node").alias("leader"), F.col("sketch").alias("x"))
+        b = sketch.select("node", F.col("sketch").alias("y"))
         shared = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda same: same))
         pairs = written(pairs).join(a, "leader").join(b, "node").where(shared >= SHARED)
-        pairs = written(pairs.where(F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")).select("leader", "node"))
+        pairs = written(pairs.select("leader", "node"))
         tested = pairs if tested is None else tested.union(pairs)
         left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
         right = texts.select("node", F.col("text").alias("right_text"))
@@ -224,7 +235,7 @@ def classes(docs: DataFrame, rounds: int = 4) -> DataFrame:
     members = written(entries.join(weights, "node").select("key", "node", "weight"))
     met = written(sketch.join(weights.select("node"), "node"))
     texts = source.join(met.select("node", "id", "key"), ["id", "key"]).select("node", "text")
-    links = _links(members, met.select("node", "size", "sketch"), written(texts), rounds)
+    links = _links(members, met.select("node", "sketch"), written(texts), rounds)
     labels = components(links, "leader", "node")
     joined = nodes.join(labels, "node", "left").select("digest", "node", "first_id", F.coalesce("label", "node").alias("label"))
     joined = written(joined)
