@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import near, substrings, suffixes, tokens
+from parcelflow.llm import mixing, near, substrings, suffixes, tokens
 from parcelflow.llm.shared import LAST_ID, table
+from parcelflow.operators.positions import with_position
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def n_words(text: str = "text") -> Column:
+    """Number of words of a text, none for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def source_weights(docs: DataFrame) -> DataFrame:
+    """Sources in code point order, the missing one last, weigh 5, 2, 1 and so on."""
+    sources = docs.select("source", F.col("source").isNull().alias("missing")).distinct()
+    placed = with_position(sources, [], ["missing", "source"])
+    return placed.select("source", F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.col("position") % 3 + 1).cast("int")).alias("weight"))
+
+
+@query("op3_source_mixing")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    mix = mixing.mixed(docs.select("doc_id", "source", n_words().alias("size")), source_weights(docs), share=1.5, repeats=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op7_substring_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, folder, "documents"), length=50)

@@ -55,28 +55,26 @@ def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Recor
     return df.mapInArrow(over, schema)
 
 
-def running(
-    df: DataFrame, group: Sequence[str], spread: Column, order: Sequence[Column | str], weight: Column, name: str,
-    rows_per_slice: int = 100_000,
-) -> DataFrame:
+def slices_for(rows: int) -> int:
+    """A power of two near a quarter of the square root: neither the slices nor the rows of one grow with the table alone."""
+    return 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(rows) / 4))))
+
+
+def running(df: DataFrame, group: Sequence[str], spread: Column, order: Sequence[str], weight: Column, name: str) -> DataFrame:
     """Add the sum of ``weight`` over the rows before each row of its group, as ``name``.
 
     ``spread`` is an even 64-bit hash of a row; a group is ordered by its top bits and then by ``order``. The slices
-    that the top bits name are summed first, so a window holds one slice and never a whole group, and the window
-    over slices holds as many rows as a group has slices. ``df`` is read twice: hand in a written table.
+    that the top bits name are summed first, so a window holds one slice and never a whole group, and the window over
+    slices holds one row for each slice of a group. ``df`` is read twice: hand in a written table. The columns of
+    ``group`` must not be null.
     """
-    rows = df.count()
-    slices = 1 << max(0, math.ceil(math.log2(max(1, rows / rows_per_slice))))
-    sliced = df.withColumn("_slice", F.shiftrightunsigned(spread, 64 - int(math.log2(slices))) if slices > 1 else F.lit(0).cast("long"))
+    slices = slices_for(df.count())
+    bits = int(math.log2(slices))
+    sliced = df.withColumn("_slice", F.shiftrightunsigned(spread, 64 - bits) if bits else F.lit(0).cast("long"))
     keys = [*group, "_slice"]
     inside = sliced.groupBy(*keys).agg(F.sum(weight).alias("_inside"))
     earlier = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    before = inside.select(*keys, F.coalesce(F.sum("_inside").over(earlier), F.lit(0).cast("long")).alias("_before"))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
-    condition = same[0]
-    for more in same[1:]:
-        condition &= more
-    joined = sliced.alias("l").join(before.alias("r"), condition).select("l.*", "r._before")
+    before = inside.select(*keys, F.coalesce(F.sum("_inside").over(earlier), F.lit(0)).cast("long").alias("_before"))
     here = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    total = F.col("_before") + F.coalesce(F.sum(weight).over(here), F.lit(0).cast("long"))
-    return joined.withColumn(name, total).drop("_before", "_slice")
+    total = F.col("_before") + F.coalesce(F.sum(weight).over(here), F.lit(0)).cast("long")
+    return sliced.join(before, keys).withColumn(name, total).drop("_before", "_slice")
