@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import mixing, near, substrings, suffixes, tokens
-from parcelflow.llm.shared import LAST_ID, table
+from parcelflow.llm import archive, mixing, near, sharding, substrings, suffixes, tokens
+from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,27 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS last FROM p),
+b AS (SELECT *, [('0x' || substr(hex, CAST(1 + 5 * i AS INT), 5))::INTEGER for i in range(8)] AS fives FROM d)
+SELECT page_id, payload_bytes,
+    array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 15) & 31), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 10) & 31), 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 5) & 31), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v & 31), 1) for v in fives], '') AS payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to
+FROM b
+"""
+
+
+@query("op4_web_archive", _WARC_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    archives = archive.archived(table(spark, folder, "pages"))
+    found = written(archive.imported(spark, f"{archives}/warc", payloads=False))
+    return archive.resolved(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op7_substring_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, folder, "documents"), length=50)
@@ -80,3 +101,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     found = near.classes(table(spark, folder, "documents").select("doc_id", "text"))
     ids = [F.when(F.col(c) < LAST_ID, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("class_id", "class_id"))]
     return found.select(*ids, F.col("size").alias("n_shingles"), "kept")
+
+
+@query("op9_sharding")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"), shards=40)
