@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, mixing, near, sharding, substrings, suffixes, tokens
+from parcelflow.llm import archive, chat, mixing, near, sharding, substrings, suffixes, tokens
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -65,6 +65,56 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return archive.resolved(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def conversation_records(rows: DataFrame) -> DataFrame:
+    """Conversations, given by turn, in the layouts that such data comes in: the roles of a conversation decide which."""
+    told = rows.select(
+        "conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content")).alias("m")
+    )
+    whole = told.groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("ms"))
+    roles = F.array_join(F.transform("ms", lambda m: F.regexp_replace(m.role, "[|]", "||")), "|")
+    texts = [F.col("ms")[i]["content"] for i in range(3)]
+    pair, three = roles == "user|assistant", roles == "system|user|assistant"
+    return whole.select(
+        "conv_id",
+        F.when(pair, texts[0]).alias("prompt"), F.when(pair, texts[1]).alias("completion"),
+        F.when(three, texts[0]).alias("system"), F.when(three, texts[1]).alias("instruction"), F.when(three, texts[2]).alias("output"),
+        F.when(~pair & ~three, F.transform("ms", lambda m: F.struct(m.role.alias("role"), m.content.alias("content")))).alias("messages"),
+    )
+
+
+_NASTY = "\\### Assistant: </turn> ok"
+
+_CHAT_SQL = r"""
+WITH r AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '</turn>', ''))) // 7
+    + len([i for i in range(1, length(text)) if text[i:i + 2] = '###']) AS escapes FROM r)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(4 + length(role) + 2 + length(text) + escapes + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""".replace("\\\\", "\\")
+
+
+@query("op6_chat_formatting", _CHAT_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_NASTY).alias("text"),
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    done = chat.formatted(chat.canonical(conversation_records(rows))).select("conv_id", "formatted", "loss")
+    done = done.withColumns({"turns": chat.read_back(), "learnt": chat.learnt_text()})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op7_substring_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, folder, "documents"), length=50)
