@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, chat, mixing, near, sharding, substrings, suffixes, tokens
+from parcelflow.llm import archive, chat, mixing, near, quality, sharding, substrings, suffixes, tokens
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -37,6 +37,13 @@ def source_weights(docs: DataFrame) -> DataFrame:
     return placed.select("source", F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.col("position") % 3 + 1).cast("int")).alias("weight"))
 
 
+@query("op2_quality_rules")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"), ["doc_id"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "good")
+
+
 @query("op3_source_mixing")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -95,7 +102,7 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(4 + length(role) + 2 + length(text) + escapes + 8) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
-""".replace("\\\\", "\\")
+"""
 
 
 @query("op6_chat_formatting", _CHAT_SQL)
