@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, chat, mixing, near, quality, sharding, substrings, suffixes, tokens
+from parcelflow.llm import archive, chat, mixing, near, quality, sharding, substrings, suffixes, tokens, toxicity
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -105,6 +105,14 @@ FROM e GROUP BY conv_id
 """
 
 
+@query("op5_toxicity")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    found = toxicity.scored(docs, toxicity.learnt(docs, labels), keep=["doc_id"]).select("row.doc_id", "score")
+    predicted = (F.col("score") >= toxicity.LEAST).cast("int").alias("predicted")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
 @query("op6_chat_formatting", _CHAT_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.range(2).select(
