@@ -40,7 +40,7 @@ def weighed(docs: DataFrame, weights: DataFrame, share: float, repeats: int, see
     rows = written(docs.select("doc_id", "source", "size", *carry, *named, turn.alias("turn")))
     totals = rows.groupBy("missing", "name").agg(F.sum("size").alias("source_size"))
     sizes = written(totals.join(weights.select(*named, "weight"), ["missing", "name"]))
-    budget = int(share * (sizes.agg(F.sum("source_size")).first()[0] or 0))
+    budget = share * (sizes.agg(F.sum("source_size")).first()[0] or 0)
     level = shared_out(sizes, budget, repeats)
     limit = (F.col("source_size") * repeats).cast("double")
     sizes = sizes.withColumn("target", F.least(limit, F.lit(level) * F.col("weight")))
@@ -50,7 +50,7 @@ def weighed(docs: DataFrame, weights: DataFrame, share: float, repeats: int, see
         ((F.col("sent") + F.col("size")) / F.col("weight")).alias("finish"),
         "turn", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"),
     )
-    return written(queued.withColumn("place", place)), budget
+    return written(queued.withColumn("place", place)), int(budget)
 
 
 def _copy(number: int) -> Column:

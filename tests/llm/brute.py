@@ -62,3 +62,61 @@ def contamination(docs, items, size=13):
         digest = sha(",".join(sorted(str(x) for x in found)))
         out.append((doc_id, len(w), sum(hit), len(found), digest, sum(hit) > 0 and 20 * sum(hit) >= len(w)))
     return out
+
+
+def shingle_set(words, size=5):
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def near_classes(docs, least=0.8):
+    """Smallest doc_id of the class of each of (doc_id, text): all pairs are compared."""
+    words = [SPACED.findall(t or "") for _, t in docs]
+    sets = [shingle_set(w) for w in words]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if sets[i] and sets[j] and min(len(sets[i]), len(sets[j])) >= least * max(len(sets[i]), len(sets[j])):
+                both = len(sets[i] & sets[j])
+                if both >= least * (len(sets[i]) + len(sets[j]) - both):
+                    parent[find(i)] = find(j)
+    smallest = {}
+    for i, (d, _) in enumerate(docs):
+        smallest[find(i)] = min(smallest.get(find(i), LAST), LAST if d is None else d)
+    return [smallest[find(i)] for i in range(len(docs))]
+
+
+def text_counts(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text."""
+    text = text or ""
+    words = SPACED.findall(text)
+    times = defaultdict(int)
+    for i in range(len(words) - 2):
+        times[tuple(words[i : i + 3])] += 1
+    inside = [False] * len(words)
+    for i in range(len(words) - 2):
+        if times[tuple(words[i : i + 3])] > 1:
+            inside[i : i + 3] = [True] * 3
+    lines = [x for x in text.split("\n") if SPACED.search(x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), sum(inside),
+    )
+
+
+def targets(sizes, weights, share, repeats):
+    """Target of each source: ``share`` of all sizes by weight, cut at ``repeats`` sizes, the rest shared again."""
+    budget, full, out = share * sum(sizes.values()), set(), {}
+    while True:
+        open_ = [s for s in sizes if s not in full]
+        left = budget - sum(repeats * sizes[s] for s in full)
+        weight = sum(weights[s] for s in open_)
+        out = {s: repeats * sizes[s] if s in full else left * weights[s] / weight for s in sizes}
+        above = {s for s in open_ if out[s] > repeats * sizes[s]}
+        if not above:
+            return out
+        full |= above
