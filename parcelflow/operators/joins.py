@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000  # a key with more rows than this is spread over several tasks
-SALTS = 64
+ROWS_PER_TASK = 2_000_000  # a key with more rows is dealt out in shares of about this many
 
-_HOT, _SALT = "_hot", "_salt"
+_ROWS, _SHARES, _SALT = "_rows", "_shares", "_salt"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``rows / hot_rows`` of them, however large the table."""
-    counts = df.where(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > hot_rows).select(*keys)
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, with their ``_rows``: at most rows / rows_per_task of them."""
+    counts = df.where(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    return counts.where(F.col(_ROWS) > rows_per_task)
 
 
 def _known(keys: Sequence[str]):
@@ -32,26 +31,27 @@ def spread_join(
     unique: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``big`` to a side with one row per key (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
-    Rows of a hot key are dealt out by the partition they come from, and the single row they match is
-    copied to each share. All other keys join as usual. Rows without a key match nothing and are dealt out
-    too. The list of hot keys is broadcast: its length is bounded by ``hot_rows`` (see ``hot_keys``). Where
-    ``big`` is costly to compute, pass ``hot``, the hot keys of a table that ``big`` was reduced from.
+    A hot key is dealt out in as many shares as its rows need, by a hash of the row and of the partition it comes
+    from, so a task that is run again deals the same way; the single row that the key matches is copied to each share.
+    All other keys join as usual. Rows without a key match nothing and are dealt out by the same hash, without copies.
+    The list of hot keys is broadcast: its length is bounded (see ``hot_keys``). Where ``big`` is reduced before, or
+    costly to compute, pass ``hot``, the hot keys of a table that it was reduced from.
     """
     if hot is None:
-        hot = hot_keys(big, keys, hot_rows)
-    hot = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
-    spread = F.col(_HOT) | ~_known(keys)
-    share = F.when(spread, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-
-    dealt = big.join(hot, list(keys), "left").withColumn(_SALT, share).drop(_HOT)
-    copied = unique.join(hot, list(keys), "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
+        hot = hot_keys(big, keys, rows_per_task)
+    shares = F.ceil(F.col(_ROWS) / F.lit(rows_per_task)).cast("long")
+    hot = F.broadcast(hot.select(*keys, shares.alias(_SHARES)))
+    place = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in big.columns])
+    share = F.when(~_known(keys), place).when(F.col(_SHARES).isNotNull(), F.pmod(place, F.col(_SHARES))).otherwise(0)
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_SHARES), F.lit(1)) - 1)
+
+    dealt = big.join(hot, list(keys), "left").withColumn(_SALT, share).drop(_SHARES)
+    copied = unique.join(hot, list(keys), "left").withColumn(_SALT, F.explode(copies)).drop(_SHARES)
     joined = dealt.join(copied, [*keys, _SALT], how).drop(_SALT)
     added = [] if how in ("left_semi", "left_anti") else [c for c in unique.columns if c not in keys]
     return joined.select(*big.columns, *added)
@@ -100,15 +100,15 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str = "total_sales") ->
 
 
 def with_key_count(
-    df: DataFrame, keys: Sequence[str], name: str = "total_sales", hot_rows: int = HOT_ROWS, salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], name: str = "total_sales", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Every row with the number of rows of its key. Rows without a key are dropped.
 
     The counts also tell which keys are hot, so they are computed once for both.
     """
     counts = key_counts(df, keys, name)
-    hot = counts.where(F.col(name) > hot_rows).select(*keys)
-    return spread_join(df, counts, keys, "inner", salts=salts, hot=hot)
+    hot = counts.where(F.col(name) > rows_per_task).select(*keys, F.col(name).alias(_ROWS))
+    return spread_join(df, counts, keys, "inner", rows_per_task, hot)
 
 
 def with_key_count_window(df: DataFrame, keys: Sequence[str], name: str = "total_sales") -> DataFrame:

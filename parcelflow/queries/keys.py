@@ -319,6 +319,44 @@ def upsert_counts(t: Tables) -> DataFrame:
     return upsert.action_counts(_upserted(t))
 
 
+@query(
+    "upsert_null_key",
+    """
+    WITH keyed AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS kind, o_totalprice,
+                          CAST(o_orderdate AS DATE) AS d FROM orders)
+    SELECT o_orderkey, kind, CASE WHEN d >= DATE '1998-06-01' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM keyed
+    """,
+)
+def upsert_null_key(t: Tables) -> DataFrame:
+    """The same update twice, under keys with missing parts: no row is doubled."""
+    keyed = t.orders.select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("kind"), "o_totalprice", "o_orderdate"
+    )
+    target = keyed.where(F.col("o_orderdate") < "1999-01-01").drop("o_orderdate")
+    updates = keyed.where(F.col("o_orderdate") >= "1998-06-01").drop("o_orderdate")
+    updates = updates.withColumn("o_totalprice", -F.col("o_totalprice"))
+    once = upsert.upsert(target, updates, ["o_orderkey", "kind"])
+    return upsert.upsert(once, updates, ["o_orderkey", "kind"])
+
+
+@query(
+    "hot_key_join",
+    """
+    SELECT l_orderkey, l_linenumber, l_shipdate_year, p_retailprice FROM
+        (SELECT l_orderkey, l_linenumber, year(l_shipdate) AS l_shipdate_year,
+                CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 > 0 THEN l_partkey END AS k FROM lineitem)
+        LEFT JOIN part ON p_partkey = k
+    """,
+)
+def hot_key_join(t: Tables) -> DataFrame:
+    """A third of the rows on one key, some without a key."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 7 > 0, F.col("l_partkey"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("l_shipdate_year"), key.alias("k"))
+    parts = t.part.select(F.col("p_partkey").alias("k"), "p_retailprice")
+    return joins.spread_join(rows, parts, ["k"], "left", rows_per_task=1000).drop("k")
+
+
 @query(
     "open_predictions",
     """

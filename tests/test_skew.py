@@ -52,21 +52,21 @@ def content(df):
 def test_spread_join_equals_plain_join(hot, sides, how):
     missing_key = hot.withColumn("k", F.when(F.col("v") % 50 != 0, F.col("k")))
     plain = missing_key.join(sides, "k", how)
-    spread = joins.spread_join(missing_key, sides, ["k"], how, hot_rows=1000, salts=8)
+    spread = joins.spread_join(missing_key, sides, ["k"], how, rows_per_task=1000)
     assert spread.columns == plain.columns
     assert content(spread) == content(plain)
 
 
 def test_spread_join_divides_the_hot_key(no_adaptive, hot, sides):
     plain = hot.join(sides, "k", "left")
-    spread = joins.spread_join(hot, sides, ["k"], "left", hot_rows=1000, salts=8)
+    spread = joins.spread_join(hot, sides, ["k"], "left", rows_per_task=1000)
     assert largest_share(plain) > 0.33
     assert largest_share(spread) < 0.12
 
 
 def test_hot_copies_are_divided_too(no_adaptive, spark, sides):
     copies = spark.range(0, ROWS, 1, 8).select(F.lit(5).cast("long").alias("k"), F.lit("same").alias("v"))
-    spread = joins.spread_join(copies, sides, ["k"], "inner", hot_rows=1000, salts=64)
+    spread = joins.spread_join(copies, sides, ["k"], "inner", rows_per_task=1000)
     assert spread.count() == ROWS
     assert largest_share(spread) < 0.5
 
@@ -74,14 +74,14 @@ def test_hot_copies_are_divided_too(no_adaptive, spark, sides):
 def test_rows_without_a_key_are_divided(no_adaptive, spark, sides):
     keyless = spark.range(0, ROWS, 1, 8).select(F.when(F.col("id") % 2 == 0, F.col("id") % 900).alias("k"), "id")
     plain = keyless.join(sides, "k", "left")
-    spread = joins.spread_join(keyless, sides, ["k"], "left", salts=64)
+    spread = joins.spread_join(keyless, sides, ["k"], "left")
     assert largest_share(plain) > 0.5
     assert largest_share(spread) < 0.2
     assert content(spread) == content(plain)
 
 
 def test_members_and_counts_with_a_hot_key(hot, sides):
-    options = {"hot_rows": 1000, "salts": 8}
+    options = {"rows_per_task": 1000}
     doubled = sides.select("k").unionAll(sides.select("k"))  # repeated members do not repeat rows
     kept, left = joins.members(hot, doubled, ["k"], **options), joins.non_members(hot, doubled, ["k"], **options)
     assert kept.count() + left.count() == ROWS
@@ -91,7 +91,25 @@ def test_members_and_counts_with_a_hot_key(hot, sides):
 
 
 def test_hot_key_list_is_bounded(hot):
-    assert [r["k"] for r in joins.hot_keys(hot, ["k"], 1000).collect()] == [0]
+    assert [tuple(r) for r in joins.hot_keys(hot, ["k"], 1000).collect()] == [(0, ROWS // 3)]
+
+
+def test_input_that_lies_by_the_hot_key_is_divided(no_adaptive, hot, sides):
+    """All rows of the hot key in one input partition: no task gets more than twice its fair share of them."""
+    together = hot.repartition(8, "k")
+    joined = joins.spread_join(together, sides, ["k"], "left", rows_per_task=ROWS // 3 // 32).where("k = 0")
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == ROWS // 3 and max(sizes) < 0.2 * sum(sizes)  # 32 shares hashed to 64 tasks
+
+
+def test_shares_follow_the_rows_of_a_key(spark, sides):
+    """A key four times as large gets four times the shares."""
+    key = F.when(F.col("id") < 4000, 1).when(F.col("id") < 5000, 2).otherwise(F.col("id"))
+    rows = spark.range(0, 6000, 1, 4).select(key.cast("long").alias("k"), "id")
+    plan = plan_of(joins.spread_join(rows, sides, ["k"], "inner", rows_per_task=250))
+    assert "ceil" in plan
+    copies = {r["k"]: -(-r["_rows"] // 250) for r in joins.hot_keys(rows, ["k"], 250).collect()}
+    assert copies == {1: 16, 2: 4}
 
 
 def test_top_one_is_cut_before_the_shuffle(hot):
