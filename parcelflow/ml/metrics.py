@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+SLICES = 4096  # ranges of equal width that scores between 0 and 1 are counted in
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 
@@ -135,14 +137,60 @@ def threshold_counts(df: DataFrame, score: str, thresholds: Sequence[float] = TH
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """R2, mean absolute error and mean absolute percentage error over rows where both are known."""
+    """R2, mean absolute error and mean absolute percentage error over rows where both are known.
+
+    R2 is missing for fewer than two rows. If all actual values are equal it is 1 without any error, otherwise 0.
+    """
     y, p = F.col(actual), F.col(predicted)
     error = F.abs(y - p)
     tiny = F.lit(2.220446049250313e-16)  # keeps the percentage finite at an actual value of 0
     known = df.where(y.isNotNull() & p.isNotNull())
-    return known.agg(
+    sums = known.agg(
         F.count(F.lit(1)).alias("n"),
-        (1 - F.avg(error * error) / F.var_pop(y)).alias("r2"),
+        F.avg(error * error).alias("_squared"),
+        F.var_pop(y).alias("_spread"),
         F.avg(error).alias("mae"),
         F.avg(error / F.greatest(F.abs(y), tiny)).alias("mape"),
     )
+    explained = 1 - F.try_divide("_squared", "_spread")
+    even = F.when(F.col("_squared") == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    r2 = F.when(F.col("n") > 1, F.when(F.col("_spread") > 0, explained).otherwise(even))
+    return sums.select("n", r2.alias("r2"), "mae", "mape")
+
+
+def score_metrics(df: DataFrame, actual: str, score: str) -> DataFrame:
+    """Exact average precision and ROC area of scores, from the counts of each distinct score.
+
+    Rows with equal scores are one step of either curve. Steps are counted in slices of the score range, so no task
+    orders all scores: a slice knows the hits above it from the sums of the slices. Both are 0 without a positive row,
+    and the ROC area without a negative one too.
+    """
+    known = df.where(F.col(actual).isNotNull() & F.col(score).isNotNull())
+    hit = F.count_if(F.col(actual) == 1).alias("hits")
+    steps = known.groupBy(F.col(score).cast("double").alias("score")).agg(hit, F.count(F.lit(1)).alias("rows"))
+    slices = steps.withColumn("_slice", F.floor(F.col("score") * SLICES))
+    inside = slices.groupBy("_slice").agg(F.sum("hits").alias("_hits"), F.sum("rows").alias("_rows"))
+    above = W.orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)  # one row a slice
+    everything = W.partitionBy()
+    inside = inside.select(
+        "_slice", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("_hits", "_rows")],
+        F.sum("_hits").over(everything).alias("_all_hits"), F.sum("_rows").over(everything).alias("_all_rows"),
+    )
+    order = W.partitionBy("_slice").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = slices.join(inside, "_slice").withColumns(
+        {
+            "_tp": F.col("_hits_above") + F.sum("hits").over(order),
+            "_n": F.col("_rows_above") + F.sum("rows").over(order),
+        }
+    )
+    misses = F.col("rows") - F.col("hits")
+    sums = placed.agg(
+        F.sum(F.col("hits") * F.col("_tp") / F.col("_n")).alias("_precision"),
+        # Pairs of a hit above a miss, ties counted half.
+        F.sum(misses * (F.col("_tp") - F.col("hits") / 2)).alias("_pairs"),
+        F.max("_all_hits").alias("_p"),
+        F.max(F.col("_all_rows") - F.col("_all_hits")).alias("_n"),
+        F.sum("rows").alias("n"),
+    )
+    ratio = [F.coalesce(F.try_divide(F.col(a), b), F.lit(0.0)) for a, b in (("_precision", F.col("_p")), ("_pairs", F.col("_p") * F.col("_n")))]
+    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), ratio[0].alias("average_precision"), ratio[1].alias("roc_auc"))

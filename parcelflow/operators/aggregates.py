@@ -109,16 +109,18 @@ def correlate(df: DataFrame, columns: Sequence[str], label: str, min_abs: float
     """Rows of the correlation matrix whose correlation with the label is larger than ``min_abs``.
 
     One output row per cell: ``column``, ``other``, ``correlation``. Every pair is taken over the rows where
-    both are known, and all pairs come from one pass.
+    both are known, and all pairs come from one pass. A column that is constant there has no correlation.
     """
     columns = list(dict.fromkeys([label, *columns]))
     name = {frozenset(pair): f"c{i}" for i, pair in enumerate(combinations(columns, 2))}
-    matrix = df.agg(
-        *[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name[frozenset((a, b))])
-            for a, b in combinations(columns, 2)
-        ]
-    )
+
+    def correlation(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        deviation = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+        return F.try_divide(F.covar_pop(x, y), deviation)
+
+    matrix = df.agg(*[correlation(a, b).alias(name[frozenset((a, b))]) for a, b in combinations(columns, 2)])
 
     def cell(a: str, b: str) -> Column:
         return F.lit(1.0) if a == b else F.col(name[frozenset((a, b))])

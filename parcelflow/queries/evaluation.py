@@ -72,6 +72,25 @@ def corr_label(t: Tables) -> DataFrame:
     return rounded(aggregates.correlate(t.lineitem, CORRELATED, "l_extendedprice", 0.001), "correlation")
 
 
+def _constant_sql(a: str, b: str) -> str:
+    fixed = "l_fixed" in (a, b)
+    value = "max(1.0)" if a == b else "max(CAST(NULL AS DOUBLE))" if fixed else f"round(corr({a}, {b}), 4)"
+    keep = "" if a == "l_extendedprice" else f"HAVING abs(corr({a}, l_extendedprice)) > 0.001"
+    return f"SELECT '{a}' AS \"column\", '{b}' AS other, CAST({value} AS DOUBLE) AS correlation FROM lineitem {keep}"
+
+
+WITH_CONSTANT = ("l_extendedprice", "l_quantity", "l_fixed")
+
+
+@query(
+    "corr_constant",
+    " UNION ALL ".join(_constant_sql(a, b) for a in WITH_CONSTANT if a != "l_fixed" for b in WITH_CONSTANT),
+)
+def corr_constant(t: Tables) -> DataFrame:
+    rows = t.lineitem.withColumn("l_fixed", F.lit(7))
+    return rounded(aggregates.correlate(rows, WITH_CONSTANT, "l_extendedprice", 0.001), "correlation")
+
+
 CELLS_SQL = """
     WITH predicted AS (SELECT quality AS actual, 1 - toxic AS predicted FROM labels),
     cells AS (
@@ -194,3 +213,36 @@ def regression_metrics(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("actual"), (F.col("l_quantity") * F.col("p_retailprice")).alias("predicted")
     )
     return rounded(metrics.regression_metrics(rows, "actual", "predicted"), "r2", "mae", "mape")
+
+
+@query(
+    "regression_one_row",
+    """
+    SELECT 1 AS n, CAST(NULL AS DOUBLE) AS r2, round(abs(max(l_extendedprice) - min(l_extendedprice)), 4) AS mae,
+           round(abs(max(l_extendedprice) - min(l_extendedprice)) / abs(max(l_extendedprice)), 4) AS mape
+    FROM lineitem
+    """,
+)
+def regression_one_row(t: Tables) -> DataFrame:
+    ends = t.lineitem.agg(F.max("l_extendedprice").alias("actual"), F.min("l_extendedprice").alias("predicted"))
+    return rounded(metrics.regression_metrics(ends, "actual", "predicted"), "r2", "mae", "mape")
+
+
+@query(
+    "score_metrics",
+    """
+    WITH scored AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS actual,
+                           round(o_totalprice / 500000, 3) AS score FROM orders),
+    steps AS (SELECT score, sum(actual) AS hits, count(*) AS n FROM scored GROUP BY score),
+    placed AS (SELECT hits, n, sum(hits) OVER w AS tp, sum(n) OVER w AS seen, sum(hits) OVER () AS p,
+                      sum(n - hits) OVER () AS q
+               FROM steps WINDOW w AS (ORDER BY score DESC))
+    SELECT CAST(sum(n) AS BIGINT) AS n, round(sum(hits * tp / seen) / max(p), 4) AS average_precision,
+           round(sum((n - hits) * (tp - hits / 2)) / (max(p) * max(q)), 4) AS roc_auc
+    FROM placed
+    """,
+)
+def score_metrics(t: Tables) -> DataFrame:
+    actual = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int")
+    scored = t.orders.select(actual.alias("actual"), F.round(F.col("o_totalprice") / 500000, 3).alias("score"))
+    return rounded(metrics.score_metrics(scored, "actual", "score"), "average_precision", "roc_auc")
