@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.checkpoints import checkpointed
 from parcelflow.ml.score import SCORE, score_sales
-from parcelflow.operators.positions import with_position, with_row_place
+from parcelflow.operators.positions import with_position
 
 _UNCHANGED = ""
 
@@ -18,13 +18,16 @@ _UNCHANGED = ""
 def shuffled_copy(df: DataFrame, columns: Sequence[str], seed: int) -> DataFrame:
     """Each row plus the values that ``columns`` have in another row, as ``_other_<column>``.
 
-    A true permutation: rows are numbered as they lie and in a hashed order, and matched by number.
+    A true permutation: rows are numbered in two orders of their content, one of which depends on the seed, and matched
+    by number. So it is the same however the rows lie; rows equal in all columns are the same row to it.
     """
-    own = with_row_place(df, "_place")
+    def placed(salt: int) -> DataFrame:
+        mixed = df.withColumn("_mix", F.xxhash64(F.lit(salt), *df.columns))
+        return with_position(mixed, [], ["_mix", *df.columns], "_place").drop("_mix")
+
+    own = placed(0)
     others = [F.col(c).alias(f"_other_{c}") for c in columns]
-    mixed = own.select(F.xxhash64(F.lit(seed), "_place").alias("_mix"), F.col("_place").alias("_id"), *others)
-    other = with_position(mixed, [], ["_mix", "_id"], "_place").drop("_mix", "_id")
-    return own.join(other, "_place").drop("_place")
+    return own.join(placed(seed + 1).select("_place", *others), "_place").drop("_place")
 
 
 def permutation_importance(

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelflow.checkpoints import checkpointed
+from parcelflow.ml.metrics import classification_metrics
 
 FOLDS = 15
 MISSING_VALUE = -1.0  # no feature is negative, so trees can split missing values off
@@ -41,6 +44,40 @@ def with_fold(df: DataFrame, date: str, folds: int = FOLDS, name: str = "fold")
     return dated.join(F.broadcast(days), date).withColumn(name, fold).drop("_n", "_end", "_total")
 
 
+class PositiveF1(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """F1 of class 1. A block of dates without a positive row counts 0 instead of ending the search."""
+
+    def on(self, label: str) -> PositiveF1:
+        return self._set(labelCol=label, predictionCol="prediction")
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        actual, predicted = self.getLabelCol(), self.getPredictionCol()
+        return float(classification_metrics(dataset, actual, predicted).first()["f1"])
+
+
+def _learner(kind: str, label: str, max_iter: int, seed: int):
+    if kind == "classifier":
+        return GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
+    if kind == "regressor":
+        return GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
+    raise ValueError(f"kind must be classifier or regressor, not {kind}")
+
+
+def _modelled(df: DataFrame, features: Sequence[str], label: str, more: Sequence[str] = ()) -> DataFrame:
+    """Features and label as a model reads them, kept: boosting reads its rows once per tree level."""
+    kept = [*features, F.col(label).cast("double").alias(label), *more]
+    return checkpointed(feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept))
+
+
+def fit_once(
+    df: DataFrame, features: Sequence[str], label: str, kind: str, max_iter: int = 20, max_depth: int = 5, seed: int = 42
+) -> PipelineModel:
+    """One model with given settings: no folds and no search."""
+    learner = _learner(kind, label, max_iter, seed).setMaxDepth(max_depth)
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
+    return pipeline.fit(_modelled(df, features, label))
+
+
 def train(
     df: DataFrame,
     features: Sequence[str],
@@ -51,22 +88,17 @@ def train(
     grid: Sequence[dict] | None = None,
     max_iter: int = 20,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 8,
 ) -> CrossValidatorModel:
     """Best model of a small parameter grid by cross-validated F1 (``classifier``) or R2 (``regressor``).
 
     ``grid`` lists settings such as ``{"maxDepth": 5, "stepSize": 0.1}``; its size bounds the search.
     """
+    learner = _learner(kind, label, max_iter, seed)
     if kind == "classifier":
-        learner = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
-        scorer = MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
-        )
-    elif kind == "regressor":
-        learner = GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
-        scorer = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
+        scorer = PositiveF1().on(label)
     else:
-        raise ValueError(f"kind must be classifier or regressor, not {kind}")
+        scorer = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     settings = [
         {learner.getParam(n): v for n, v in choice.items()} for choice in (grid or [{"maxDepth": 3}, {"maxDepth": 5}])
     ]
@@ -80,10 +112,7 @@ def train(
         parallelism=parallelism,
         **({"foldCol": fold_column} if fold_column else {}),
     )
-    kept = [*features, F.col(label).cast("double").alias(label), *([fold_column] if fold_column else [])]
-    rows = feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept)
-    # Boosting reads its rows once per tree level: keep them instead of rebuilding the panel every time.
-    return search.fit(checkpointed(rows))
+    return search.fit(_modelled(df, features, label, [fold_column] if fold_column else []))
 
 
 def save_model(model: CrossValidatorModel, path: str) -> None:

@@ -1,23 +1,102 @@
-"""Training, scoring and importance on the panel of orders. No SQL can restate these."""
+"""Training, scoring and importance.
+
+The queries with SQL learn a step of one feature with few values, so that the right class, price, kept rows and most
+important feature can be stated. Those on the panel of orders learn what no SQL can restate. Cross-validated models use
+the default folds, grid and rounds; where a query is about scoring or importance, one model is fitted without a search.
+"""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from parcelflow.checkpoints import checkpointed
 from parcelflow.ml import score
 from parcelflow.ml.importance import permutation_importance
-from parcelflow.ml.train import train, with_fold
+from parcelflow.ml.train import fit_once, train, with_fold
 from parcelflow.operators import splits
 from parcelflow.operators.encode import encode, fit_ordinal
 from parcelflow.queries.panels import CALENDAR, KEYS, TENURE, linked_orders
 from parcelflow.queries.registry import Tables, query
 
+STEP_FEATURES = ["month", "priority"]
+STEP_SQL = """
+    SELECT DISTINCT month(o_orderdate) AS month, CAST(left(o_orderpriority, 1) AS INTEGER) AS priority FROM orders
+"""
+
+
+def _steps(t: Tables) -> DataFrame:
+    """One row for each month, priority and order day: sold from July on, at a price that depends on the half year."""
+    month = F.month("o_orderdate")
+    return t.orders.select(
+        "o_orderdate", month.alias("month"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        (month >= 7).cast("int").alias("sold"), F.when(month >= 7, 250_000.0).otherwise(120_000.0).alias("price"),
+    ).distinct()
+
+
+def _cells(steps: DataFrame) -> DataFrame:
+    return steps.select(*STEP_FEATURES).distinct()
+
+
+def _searched(rows: DataFrame, features: list[str], label: str, kind: str, date: str):
+    return train(with_fold(rows, date), features, label, kind, fold_column="fold")
+
+
+@query("train_classifier", f"SELECT month, priority, CASE WHEN month >= 7 THEN 1 ELSE 0 END AS sold FROM ({STEP_SQL})")
+def train_classifier(t: Tables) -> DataFrame:
+    """Predicted class of each month and priority."""
+    steps = checkpointed(_steps(t))
+    model = _searched(steps, STEP_FEATURES, "sold", "classifier", "o_orderdate")
+    scored = score.score_sales(_cells(steps), model, STEP_FEATURES)
+    return scored.select(*STEP_FEATURES, (F.col(score.SCORE) > 0.5).cast("int").alias("sold"))
+
+
+@query(
+    "train_regressor",
+    f"""
+    SELECT month, priority, CASE WHEN month >= 7 THEN 250000.0 ELSE 120000.0 END AS price FROM ({STEP_SQL})
+    """,
+)
+def train_regressor(t: Tables) -> DataFrame:
+    """Predicted price of each month and priority, rounded to ten thousands."""
+    steps = checkpointed(_steps(t))
+    model = _searched(steps, STEP_FEATURES, "price", "regressor", "o_orderdate")
+    priced = score.score_prices(_cells(steps), model, STEP_FEATURES)
+    return priced.select(*STEP_FEATURES, F.col(score.PRICE).alias("price"))
+
+
+@query(
+    "cascade_score",
+    f"""
+    SELECT month, priority, 250000.0 AS price, round(250000 * 0.875, -4) AS lower, round(250000 * 1.125, -4) AS upper
+    FROM ({STEP_SQL}) WHERE month >= 7
+    """,
+)
+def cascade_score(t: Tables) -> DataFrame:
+    """Prices of the months that the sale model finds likely."""
+    steps = checkpointed(_steps(t))
+    sale = fit_once(steps, STEP_FEATURES, "sold", "classifier")
+    price = fit_once(steps, STEP_FEATURES, "price", "regressor")
+    scored = score.cascade_score(_cells(steps), sale, price, STEP_FEATURES, STEP_FEATURES)
+    prices = [F.col(f"{score.PRICE}{end}").alias(name) for end, name in (("", "price"), ("_lower", "lower"), ("_upper", "upper"))]
+    return scored.select(*STEP_FEATURES, *prices)
+
+
+@query("perm_importance", "SELECT 1 AS rank, 'month' AS feature, true AS counts UNION ALL SELECT 2, 'priority', false")
+def perm_importance(t: Tables) -> DataFrame:
+    """Features by importance: the month decides alone, so shuffling the priority changes nothing."""
+    steps = checkpointed(_steps(t))
+    model = fit_once(steps, STEP_FEATURES, "sold", "classifier")
+    ranked = permutation_importance(model, steps, STEP_FEATURES, "sold")
+    order = W.orderBy(F.desc("importance"), "feature")  # one row a feature
+    return ranked.select(F.row_number().over(order).alias("rank"), "feature", (F.col("importance") > 0.1).alias("counts"))
+
+
 SALE_FEATURES = ["total_sales", "tenure_months", "month", "owner_code", "business_owner"]
 PRICE_FEATURES = ["total_sales", "tenure_months", "last_sale_price", "owner_code"]
-FOLDS = 2
 
 
 def _panels(t: Tables) -> splits.Splits:
@@ -26,49 +105,45 @@ def _panels(t: Tables) -> splits.Splits:
     return splits.split_panel(encode(sales, dictionary, ["owner"], suffix="_code"), CALENDAR, KEYS, TENURE)
 
 
-def _fit(panel: DataFrame, features: list[str], label: str, kind: str):
-    rows = with_fold(splits.modelling_rows(panel, label, features, date="date"), "date", FOLDS)
-    return train(rows, features, label, kind, FOLDS, "fold", grid=[{"maxDepth": 3}], max_iter=3)
-
-
-def _sale_model(panels: splits.Splits):
-    return _fit(panels.train, SALE_FEATURES, splits.LABEL, "classifier")
-
-
-def _price_model(panels: splits.Splits):
-    return _fit(panels.train_price, PRICE_FEATURES, splits.PRICE_LABEL, "regressor")
+def _panel_rows(panel: DataFrame, features: list[str], label: str) -> DataFrame:
+    return checkpointed(splits.modelling_rows(panel, label, features, date="date"))
 
 
-@query("train_classifier")
-def train_classifier(t: Tables) -> DataFrame:
+@query("panel_classifier")
+def panel_classifier(t: Tables) -> DataFrame:
     """Test rows with the probability of a sale."""
     panels = _panels(t)
-    return score.score_sales(panels.test, _sale_model(panels), SALE_FEATURES).select(
-        "customer", "date", splits.LABEL, score.SCORE
-    )
+    rows = _panel_rows(panels.train, SALE_FEATURES, splits.LABEL)
+    model = _searched(rows, SALE_FEATURES, splits.LABEL, "classifier", "date")
+    return score.score_sales(panels.test, model, SALE_FEATURES).select("customer", "date", splits.LABEL, score.SCORE)
 
 
-@query("train_regressor")
-def train_regressor(t: Tables) -> DataFrame:
+@query("panel_regressor")
+def panel_regressor(t: Tables) -> DataFrame:
     """Test rows with the predicted price and its interval."""
     panels = _panels(t)
-    priced = score.score_prices(panels.test, _price_model(panels), PRICE_FEATURES)
+    rows = _panel_rows(panels.train_price, PRICE_FEATURES, splits.PRICE_LABEL)
+    model = _searched(rows, PRICE_FEATURES, splits.PRICE_LABEL, "regressor", "date")
+    priced = score.score_prices(panels.test, model, PRICE_FEATURES)
     return priced.select("customer", "date", score.PRICE, f"{score.PRICE}_lower", f"{score.PRICE}_upper")
 
 
-@query("cascade_score")
-def cascade_score(t: Tables) -> DataFrame:
+@query("panel_cascade")
+def panel_cascade(t: Tables) -> DataFrame:
     """Prices for the test rows that the sale model finds likely."""
     panels = _panels(t)
-    with ThreadPoolExecutor(max_workers=2) as pool:  # both models train side by side
-        sale, price = (pool.submit(fit, panels) for fit in (_sale_model, _price_model))
-    scored = score.cascade_score(
-        panels.test, sale.result(), price.result(), SALE_FEATURES, PRICE_FEATURES, threshold=0.2
+    jobs = (
+        (panels.train, SALE_FEATURES, splits.LABEL, "classifier"),
+        (panels.train_price, PRICE_FEATURES, splits.PRICE_LABEL, "regressor"),
     )
+    with ThreadPoolExecutor(max_workers=2) as pool:  # both models train side by side
+        sale, price = pool.map(lambda j: fit_once(_panel_rows(j[0], j[1], j[2]), j[1], j[2], j[3]), jobs)
+    scored = score.cascade_score(panels.test, sale, price, SALE_FEATURES, PRICE_FEATURES, threshold=0.2)
     return scored.select("customer", "date", score.SCORE, score.PRICE)
 
 
-@query("perm_importance")
-def perm_importance(t: Tables) -> DataFrame:
+@query("panel_importance")
+def panel_importance(t: Tables) -> DataFrame:
     panels = _panels(t)
-    return permutation_importance(_sale_model(panels), panels.test, SALE_FEATURES, splits.LABEL)
+    model = fit_once(_panel_rows(panels.train, SALE_FEATURES, splits.LABEL), SALE_FEATURES, splits.LABEL, "classifier")
+    return permutation_importance(model, panels.test, SALE_FEATURES, splits.LABEL)
