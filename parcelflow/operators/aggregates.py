@@ -90,6 +90,14 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def profile_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, extremes and exact quartiles of dates, one row per column. A quartile between two days is the earlier."""
+    days = df.select(*[F.unix_date(F.to_date(c)).alias(c) for c in columns])
+    found = profile_numeric(days, columns)
+    shown = [F.date_from_unix_date(F.floor(c).cast("int")).alias(c) for c in ("min", "q25", "q50", "q75", "max")]
+    return found.select("column", "count", *shown)
+
+
 def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, distinct values, most frequent value and its frequency, one row per column.
 

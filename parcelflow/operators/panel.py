@@ -30,11 +30,14 @@ def month_panel(
     max_tenure_years: int | None = None,
     horizons: Sequence[int] = HORIZONS,
     cap_years: int = 25,
+    year_built: str | None = None,
+    age_as_of: dt.date | None = None,
 ) -> DataFrame:
     """Expand events to months, from the event's month up to the month before the next event (or ``as_of``).
 
     The date and tenure bounds set where the month sequence starts and stops, so months outside of them are
-    never generated. No shuffle: each row is expanded on its own.
+    never generated. No shuffle: each row is expanded on its own. With ``year_built``, ``age_years`` is the age at
+    ``age_as_of`` (or ``as_of``), the same for all months of an event.
     """
     opened = dates.sale_month(date)
     closed = F.trunc(F.coalesce(F.col(next_date), F.lit(as_of)), "MM")
@@ -64,6 +67,8 @@ def month_panel(
         "tenure_years": tenure,
         "tenure_capped": dates.capped(tenure, cap_years),
     }
+    if year_built is not None:
+        features["age_years"] = dates.age_since_year(year_built, F.lit(age_as_of or as_of))
     return expanded.withColumns(features).drop("_opened", "_closed", "_to_go")
 
 

@@ -91,13 +91,16 @@ def split_panel(
     calendar: RunCalendar,
     keys: Sequence[str],
     tenure: tuple[int, int] = TENURE_YEARS,
+    year_built: str | None = None,
 ) -> Splits:
     """Test and guarded training panels of linked sales (output of ``sale_chain`` with a sale number).
 
     The keys that sell in the test months are marked on the sales, before these are expanded to months. Sales
     hold one row per key and year, so the mark is a window over a bounded group, on the partitioning that the
-    chain already has; no join is needed.
+    chain already has; no join is needed. With ``year_built``, both panels have the age at the test date.
     """
+    if year_built is not None:
+        sales = sales.withColumn("age_years", dates.age_since_year(year_built, F.lit(calendar.test_date)))
     sold = F.max(F.coalesce(sells_in_test(calendar, tenure), F.lit(False))).over(W.partitionBy(*keys))
     marked = sales.withColumn("_leak", sold)
     guarded = guard_labels(train_panel(marked, calendar, tenure), F.col("_leak")).drop("_leak")

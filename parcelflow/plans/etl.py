@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow import stages
+from parcelflow.checkpoints import checkpointed
 from parcelflow.functions.dates import january_first
 from parcelflow.functions.numbers import positive_or_null
 from parcelflow.functions.text import title_case
@@ -19,7 +20,7 @@ from parcelflow.operators.backfill import backfill_actuals, is_open
 from parcelflow.operators.dedup import last_per_period
 from parcelflow.operators.encode import fit_ordinal
 from parcelflow.operators.joins import positive
-from parcelflow.operators.upsert import upsert
+from parcelflow.operators.upsert import ACTION, action_counts, upsert_with_action
 from parcelflow.sources import counties
 
 log = logging.getLogger(__name__)
@@ -178,8 +179,10 @@ def backfill(spark: SparkSession, config: EtlConfig, raw: DataFrame) -> str | No
     if current is None:
         return None
     pending, closed = current.where(is_open(OPEN_COLUMNS)), current.where(~is_open(OPEN_COLUMNS))
-    filled = upsert(pending, filled_predictions(pending, raw), PREDICTION_KEYS, [*ACTUALS, "updatedAt"])
-    return stages.write_next(filled.unionByName(closed), config.predictions, PARTITION)
+    filled = upsert_with_action(pending, filled_predictions(pending, raw), PREDICTION_KEYS, [*ACTUALS, "updatedAt"])
+    filled = checkpointed(filled)
+    log.info("open predictions: %s", {r[ACTION]: r["n"] for r in action_counts(filled).collect()})
+    return stages.write_next(filled.drop(ACTION).unionByName(closed), config.predictions, PARTITION)
 
 
 def run(spark: SparkSession, config: EtlConfig) -> DataFrame:

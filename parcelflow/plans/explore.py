@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from parcelflow.ml.importance import permutation_importance
-from parcelflow.operators.aggregates import correlate, profile_numeric, profile_text
+from parcelflow.operators.aggregates import correlate, profile_dates, profile_numeric, profile_text
 from parcelflow.operators.splits import LABEL
 from parcelflow.plans.forecast import SALE_FEATURES, coded, encoded_categories
 
@@ -21,9 +21,19 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def date_columns(df: DataFrame) -> list[str]:
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+
+
 def describe(df: DataFrame) -> dict[str, DataFrame]:
-    """Profiles of all numeric and all text columns."""
-    return {"numeric": profile_numeric(df, numeric_columns(df)), "text": profile_text(df, text_columns(df))}
+    """Profiles of all numeric, text and date columns, for each kind that the table has."""
+    kinds = {
+        "numeric": (profile_numeric, numeric_columns(df)),
+        "text": (profile_text, text_columns(df)),
+        "dates": (profile_dates, date_columns(df)),
+    }
+    return {name: profile(df, columns) for name, (profile, columns) in kinds.items() if columns}
 
 
 def label_correlations(panel: DataFrame, label: str = LABEL, min_abs: float = 0.005) -> DataFrame:

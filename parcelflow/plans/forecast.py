@@ -18,7 +18,7 @@ from parcelflow.operators.aggregates import label_balance
 from parcelflow.operators.encode import encode
 from parcelflow.operators.snapshot import current_snapshot
 from parcelflow.operators.splits import LABEL, PRICE_LABEL, TENURE_YEARS, Splits, modelling_rows, split_panel
-from parcelflow.operators.upsert import upsert
+from parcelflow.operators.upsert import ACTION, action_counts, upsert_with_action
 from parcelflow.plans.etl import CATEGORIES, KEY, PARTITION, PREDICTION_KEYS, SALE_NUMBER, EtlConfig
 
 log = logging.getLogger(__name__)
@@ -99,7 +99,8 @@ def encoded_categories(df: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def prepare(raw: DataFrame, config: ForecastConfig) -> Splits:
     """Test and training panels. The history carries its sale numbers, so this shuffles only to mark keys."""
-    return split_panel(raw.withColumnRenamed(SALE_NUMBER, "total_sales"), config.calendar, KEY, config.tenure)
+    numbered = raw.withColumnRenamed(SALE_NUMBER, "total_sales")
+    return split_panel(numbered, config.calendar, KEY, config.tenure, year_built="YearBuilt")
 
 
 def train_models(splits: Splits, dictionary: DataFrame, config: ForecastConfig) -> dict[str, object]:
@@ -143,6 +144,7 @@ def evaluate(splits: Splits, dictionary: DataFrame, models: dict, config: Foreca
         result[f"{name}_report"] = metrics.class_report(hard, LABEL, "predicted")
         result[f"{name}_crosstab"] = metrics.crosstab(hard, LABEL, "predicted")
         result[f"{name}_thresholds"] = metrics.threshold_sweep(scored, LABEL, score.SCORE)
+        result[f"{name}_scores"] = metrics.score_metrics(scored, LABEL, score.SCORE)
         sold = modelling_rows(encoded_categories(price_panel, dictionary), PRICE_LABEL, price_kept)
         priced = score.score_prices(sold.where(F.col(LABEL) == 1), models[PRICE_LABEL], price_columns)
         result[f"{name}_regression"] = metrics.regression_metrics(priced, PRICE_LABEL, score.PRICE)
@@ -193,7 +195,9 @@ def save_predictions(spark: SparkSession, predictions: DataFrame, config: Foreca
     table = saved
     if current is not None:
         same_period = F.col(PARTITION[0]).eqNullSafe(F.lit(config.calendar.prediction_start))
-        table = upsert(current.where(same_period), saved, PREDICTION_KEYS).unionByName(current.where(~same_period))
+        merged = checkpointed(upsert_with_action(current.where(same_period), saved, PREDICTION_KEYS))
+        log.info("predictions: %s", {r[ACTION]: r["n"] for r in action_counts(merged).collect()})
+        table = merged.drop(ACTION).unionByName(current.where(~same_period))
     return stages.write_next(table.select(*PUBLISHED.values()), config.etl.predictions, PARTITION)
 
 

@@ -45,6 +45,23 @@ def profile_numeric(t: Tables) -> DataFrame:
     return rounded(aggregates.profile_numeric(t.lineitem, NUMERIC), "mean", "std", "q25", "q50", "q75")
 
 
+DATED = ("o_orderdate", "l_shipdate")
+
+
+def _dates_sql(table: str, column: str) -> str:
+    day = f"date_diff('day', DATE '1970-01-01', CAST({column} AS DATE))"
+    cells = {"min": f"min({day})", "q25": f"quantile_cont({day}, 0.25)", "q50": f"quantile_cont({day}, 0.5)",
+             "q75": f"quantile_cont({day}, 0.75)", "max": f"max({day})"}
+    shown = ", ".join(f"CAST(DATE '1970-01-01' + CAST(floor({v}) AS INTEGER) AS VARCHAR) AS {c}" for c, v in cells.items())
+    return f"SELECT '{column}' AS \"column\", count({column}) AS count, {shown} FROM {table}"
+
+
+@query("profile_dates", " UNION ALL ".join(_dates_sql(t, c) for t, c in zip(("orders", "lineitem"), DATED)))
+def profile_dates(t: Tables) -> DataFrame:
+    orders = aggregates.profile_dates(t.orders, ["o_orderdate"])
+    return orders.unionByName(aggregates.profile_dates(t.lineitem, ["l_shipdate"]))
+
+
 def _text_sql(table: str, column: str) -> str:
     return f"""
         SELECT '{column}' AS "column", (SELECT count({column}) FROM {table}) AS count,

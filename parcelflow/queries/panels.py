@@ -73,9 +73,22 @@ PANEL_SELECT = """
 """
 
 
-@query("month_panel", f"WITH {LINKED_SQL} {PANEL_SELECT} FROM panel")
+BUILT = "CAST(floor(1790 + last_sale_price / 3000) AS INTEGER)"
+
+
+@query(
+    "month_panel",
+    f"""
+    WITH {LINKED_SQL}
+    {PANEL_SELECT}, CASE WHEN {BUILT} >= 1800 THEN 2001 - {BUILT} END AS age_years FROM panel
+    """,
+)
 def month_panel(t: Tables) -> DataFrame:
-    return expand_months(linked_orders(t), "last_sale_date", "next_sale_date", AS_OF).select(*PANEL_COLUMNS)
+    sales = linked_orders(t).withColumn("built", F.floor(1790 + F.col("last_sale_price") / 3000).cast("int"))
+    panel = expand_months(
+        sales, "last_sale_date", "next_sale_date", AS_OF, year_built="built", age_as_of=CALENDAR.test_date
+    )
+    return panel.select(*PANEL_COLUMNS, "age_years")
 
 
 @query(
@@ -159,26 +172,30 @@ def current_snapshot(t: Tables) -> DataFrame:
     )
 
 
+# Published name -> SQL over the customers that play the parcels; all other published columns are unknown.
+_PUBLISHED_SQL = {
+    "parcel": "lpad(CAST(c_custkey AS VARCHAR), 9, '0')", "address": "c_name", "yearBuilt": "1983 + c_nationkey",
+    "taxMarketValueTotal": "c_acctbal * 100", "predictionPeriodStart": "'2001-04-01'",
+    "predictionPeriodEnd": "'2001-06-30'", "updatedAt": "'2002-01-01'",
+    **dict.fromkeys(("city", "zipCode", "county", "state", "propertyUse"), "c_mktsegment"),
+    **dict.fromkeys(("areaBuildingSqft", "areaLotSqft", "stories"), "CAST(c_nationkey AS DOUBLE)"),
+    **dict.fromkeys(("latitude", "longitude", "taxMarketValueLand", "taxMarketValueImprovements"), "c_acctbal"),
+}
+
+
 @query(
     "publish_projection",
-    """
-    SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS parcel, c_name AS address, c_mktsegment AS county,
-           CAST(c_nationkey AS DOUBLE) AS stories, c_acctbal * 100 AS "taxMarketValueTotal",
-           1983 + c_nationkey AS "yearBuilt", '2001-04-01' AS "predictionPeriodStart",
-           '2001-06-30' AS "predictionPeriodEnd", CAST(NULL AS VARCHAR) AS "actualSaleDate"
-    FROM customer
-    """,
+    "SELECT "
+    + ", ".join(f'{_PUBLISHED_SQL.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in PUBLISHED.values())
+    + " FROM customer",
 )
 def publish_projection(t: Tables) -> DataFrame:
+    """All published columns."""
     _, assessor, _ = parcel_sources(t)
     parcels = assessor.withColumn("Parid", F.translate("ParcelNumberRaw", "-.", ""))
     empty = [c for c in PUBLISHED if c not in parcels.columns and c not in _PERIOD]
     rows = parcels.withColumns({c: F.lit(None).cast("string") for c in empty})
-    published = publish(rows, CALENDAR, F.lit(AS_OF))
-    return published.select(
-        "parcel", "address", "county", "stories", "taxMarketValueTotal", "yearBuilt", "predictionPeriodStart",
-        "predictionPeriodEnd", "actualSaleDate",
-    )
+    return publish(rows, CALENDAR, F.lit(AS_OF))
 
 
 _PERIOD = ("prediction_period_start", "prediction_period_end", "updated_at")
