@@ -84,11 +84,12 @@ class EtlConfig:
     as_of: dt.date
 
     def path(self, stage_name: str) -> str:
-        return f"{self.root}/etl/{self.run_date}/{self.state}/{stage_name}"
+        """Folder of a computed stage. It names ``as_of``, so a stage is reused only under the same one."""
+        return f"{self.root}/etl/{self.run_date}/{self.state}/as_of={self.as_of}/{stage_name}"
 
     @property
     def landing(self) -> str:
-        return self.path("0-landing")
+        return f"{self.root}/etl/{self.run_date}/{self.state}/0-landing"
 
     @property
     def predictions(self) -> str:
@@ -134,7 +135,7 @@ def build_history(sales: DataFrame, assessor: DataFrame, valuations: DataFrame)
 
 def raw_stage(spark: SparkSession, config: EtlConfig) -> DataFrame:
     def build() -> DataFrame:
-        sales = counties.stacked_counties(spark, config.state, config.landing, config.as_of, assessed=False)
+        sales = counties.stacked_sales(spark, config.state, config.landing, config.as_of)
         assessor = counties.read_assessor(spark, config.landing)
         return build_history(sales, assessor, counties.read_valuations(spark, config.landing))
 

@@ -83,8 +83,15 @@ class ForecastConfig:
     def calendar(self) -> RunCalendar:
         return run_calendar(self.etl.run_date, self.etl.as_of)
 
+    def prepared(self, panel: str) -> str:
+        """Folder of a prepared panel, which the tenure bounds decide."""
+        low, high = self.tenure
+        return self.etl.path(f"3-prepared/tenure={low}-{high}/{panel}")
+
     def model_path(self, label: str) -> str:
-        return f"{self.etl.root}/models/{self.etl.run_date}/{self.etl.state}/{label}"
+        low, high = self.tenure
+        run = f"{self.etl.run_date}/{self.etl.state}/as_of={self.etl.as_of}/tenure={low}-{high}"
+        return f"{self.etl.root}/models/{run}/{label}"
 
 
 def coded(features: tuple[str, ...]) -> list[str]:
@@ -207,8 +214,8 @@ def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
     dictionary = spark.read.parquet(config.etl.path("2-dictionary"))
     fresh = prepare(raw, config)
     splits = Splits(
-        test=stages.stage(spark, config.etl.path("3-prepared/test"), lambda: fresh.test),
-        train=stages.stage(spark, config.etl.path("3-prepared/train"), lambda: fresh.train),
+        test=stages.stage(spark, config.prepared("test"), lambda: fresh.test),
+        train=stages.stage(spark, config.prepared("train"), lambda: fresh.train),
     )
     train_models(splits, dictionary, config)
     models = {label: load_model(config.model_path(label)) for label in (LABEL, PRICE_LABEL)}

@@ -155,10 +155,9 @@ def building_info(t: Tables) -> DataFrame:
     "cama_sales",
     """
     WITH assessed AS (
-        SELECT l_partkey, l_extendedprice, l_quantity, l_returnflag
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY year(l_shipdate) DESC, l_linenumber DESC,
-                     l_extendedprice DESC, l_quantity DESC, l_returnflag DESC) AS rn FROM lineitem)
-        WHERE rn = 1)
+        SELECT l_partkey, max(l_extendedprice) AS l_extendedprice, max(l_quantity) AS l_quantity,
+               max(l_returnflag) AS l_returnflag
+        FROM lineitem GROUP BY l_partkey, year(l_shipdate))
     SELECT CAST(s.l_partkey AS VARCHAR) AS parid, s.l_orderkey AS owner, s.l_extendedprice AS price,
            CAST(CAST(s.l_shipdate AS DATE) AS VARCHAR) AS sold, year(s.l_shipdate) AS sale_year,
            CASE s.l_linestatus WHEN 'O' THEN '0' ELSE s.l_linestatus END AS deed,
@@ -170,13 +169,10 @@ def building_info(t: Tables) -> DataFrame:
 def cama_sales(t: Tables) -> DataFrame:
     parid = F.col("l_partkey").cast("string").alias("Parid")
     parcels = t.part.select(F.col("p_partkey").cast("string").alias("Parid"))
-    assessments = t.lineitem.select(
-        parid,
-        F.year("l_shipdate").alias("Taxyr"),
-        F.col("l_linenumber").alias("Seq"),
-        F.col("l_extendedprice").alias("Aprbldg"),
-        F.col("l_quantity").alias("Aprland"),
-        F.col("l_returnflag").alias("Class"),
+    assessments = t.lineitem.groupBy(parid, F.year("l_shipdate").alias("Taxyr")).agg(
+        F.max("l_extendedprice").alias("Aprbldg"),
+        F.max("l_quantity").alias("Aprland"),
+        F.max("l_returnflag").alias("Class"),
     )
     sales = t.lineitem.select(
         parid,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import dates, numbers, text
 from parcelflow.operators.dedup import first_by, first_per_key_date, latest_per_key
-from parcelflow.operators.joins import positive, spread_join
+from parcelflow.operators.joins import members, positive
 from parcelflow.sources import layouts
 from parcelflow.sources.delimited import read_headerless, read_with_header, stack_formats, without_repeated_headers
 from parcelflow.sources.fixed_width import read_fixed_width
@@ -50,27 +50,15 @@ def cama_sales(sales: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def _latest_assessment(assessments: DataFrame) -> DataFrame:
-    order = [F.desc_nulls_last(c) for c in ("Taxyr", "Seq", "Aprbldg", "Aprland", "Class")]
-    latest = first_by(assessments, ["Parid"], order)
-    return latest.select("Parid", "Aprland", "Aprbldg", F.col("Class").alias("Class_asmt"))
+def known_sales(parcels: DataFrame, sales: DataFrame) -> DataFrame:
+    """Sales of known parcels. A parcel without a sale has no price and would be dropped next."""
+    return members(sales, parcels, ["Parid"])
 
 
-def cama_rows(parcels: DataFrame, assessments: DataFrame | None, sales: DataFrame) -> DataFrame:
-    """Sales of known parcels with the latest assessment of the parcel.
-
-    A parcel without a sale has no price and would be dropped next, so the parcel list only selects sales.
-    Assessments are reduced to one row per parcel and joined to the list first: the sales are shuffled once,
-    and no row is multiplied. Without ``assessments`` the assessed columns are missing, which saves work that
-    the history does not need.
-    """
-    known = parcels.select("Parid").distinct()
-    if assessments is None:
-        missing = {c: F.lit(None).cast("double") for c in ("Aprland", "Aprbldg")}
-        known = known.withColumns({**missing, "Class_asmt": F.lit(None).cast("string")})
-    else:
-        known = known.join(_latest_assessment(assessments), "Parid", "left")
-    rows = spread_join(sales, known, ["Parid"])
+def cama_rows(parcels: DataFrame, assessments: DataFrame, sales: DataFrame) -> DataFrame:
+    """Sales of known parcels, each beside every assessment of its parcel; the assessed columns may be missing."""
+    assessed = assessments.select("Parid", "Aprland", "Aprbldg", F.col("Class").alias("Class_asmt"))
+    rows = known_sales(parcels, sales).join(assessed, "Parid", "left")
     renamed = rows.withColumnsRenamed(
         {
             "Own1": "Owner Name 1",
@@ -90,12 +78,20 @@ def cama_rows(parcels: DataFrame, assessments: DataFrame | None, sales: DataFram
     return renamed.withColumns(parts).select(*SALE_COLUMNS)
 
 
-def read_cama(spark: SparkSession, directory: str, as_of: dt.date, assessed: bool = True) -> DataFrame:
-    """Sales of a county that publishes fixed-width tax files."""
+def _cama_sales_files(spark: SparkSession, directory: str, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
     parcels = read_fixed_width(spark, f"{directory}/PARDAT.DAT", layouts.PARCEL, columns=["Parid"])
-    assessments = read_fixed_width(spark, f"{directory}/ASMT.DAT", layouts.ASSESSMENT) if assessed else None
-    sales = read_fixed_width(spark, f"{directory}/SALES.DAT", layouts.SALES)
-    return cama_rows(parcels, assessments, cama_sales(sales, as_of))
+    return parcels, cama_sales(read_fixed_width(spark, f"{directory}/SALES.DAT", layouts.SALES), as_of)
+
+
+def read_cama(spark: SparkSession, directory: str, as_of: dt.date) -> DataFrame:
+    """Sales and assessments of a county that publishes fixed-width tax files."""
+    parcels, sales = _cama_sales_files(spark, directory, as_of)
+    return cama_rows(parcels, read_fixed_width(spark, f"{directory}/ASMT.DAT", layouts.ASSESSMENT), sales)
+
+
+def read_cama_sales(spark: SparkSession, directory: str, as_of: dt.date) -> DataFrame:
+    """Parcel, date and price of the sales of such a county, each sale once; the assessment file is not needed."""
+    return known_sales(*_cama_sales_files(spark, directory, as_of)).select("Parid", "last_sale_date", "last_sale_price")
 
 
 def read_dwellings(spark: SparkSession, directory: str, county: str) -> DataFrame:
@@ -195,13 +191,14 @@ def read_transfers(spark: SparkSession, directory: str) -> DataFrame:
 # Supported counties per state.
 STATE_COUNTIES = {"ohio": ("ohio-butler", "ohio-clermont", "ohio-hamilton")}
 
-Loader = Callable[[SparkSession, str, dt.date, bool], DataFrame]
+Loader = Callable[[SparkSession, str, dt.date], DataFrame]
 
 LOADERS: Mapping[str, Loader] = {
     "ohio-butler": read_cama,
     "ohio-clermont": read_cama,
-    "ohio-hamilton": lambda spark, directory, as_of, assessed: read_transfers(spark, directory),
+    "ohio-hamilton": lambda spark, directory, as_of: read_transfers(spark, directory),
 }
+SALE_LOADERS: Mapping[str, Loader] = {**LOADERS, "ohio-butler": read_cama_sales, "ohio-clermont": read_cama_sales}
 
 
 def tag_county(df: DataFrame, county: str) -> DataFrame:
@@ -216,22 +213,28 @@ def tag_county(df: DataFrame, county: str) -> DataFrame:
 
 
 def load_county(
-    spark: SparkSession, county: str, directory: str, as_of: dt.date, assessed: bool = True
+    spark: SparkSession, county: str, directory: str, as_of: dt.date, loaders: Mapping[str, Loader] = LOADERS
 ) -> DataFrame:
-    if county not in LOADERS:
+    if county not in loaders:
         raise ValueError(f"unknown county {county}")
-    return tag_county(LOADERS[county](spark, directory, as_of, assessed), county)
+    return tag_county(loaders[county](spark, directory, as_of), county)
 
 
 def stacked_counties(
-    spark: SparkSession, state: str, landing: str, as_of: dt.date, assessed: bool = True
+    spark: SparkSession, state: str, landing: str, as_of: dt.date, loaders: Mapping[str, Loader] = LOADERS
 ) -> DataFrame:
-    """All rows of all counties of a state. The history needs no ``assessed`` values of the county files."""
-    return stack_formats([load_county(spark, c, f"{landing}/{c}", as_of, assessed) for c in STATE_COUNTIES[state]])
+    """All rows of all counties of a state."""
+    return stack_formats([load_county(spark, c, f"{landing}/{c}", as_of, loaders) for c in STATE_COUNTIES[state]])
+
+
+def stacked_sales(spark: SparkSession, state: str, landing: str, as_of: dt.date) -> DataFrame:
+    """Parcel, date and price of the sales of all counties: what the history is built from."""
+    rows = stacked_counties(spark, state, landing, as_of, SALE_LOADERS)
+    return rows.select("Parid", "last_sale_date", "last_sale_price", "State", "County")
 
 
 def load_state(spark: SparkSession, state: str, landing: str, as_of: dt.date) -> DataFrame:
-    """Distinct priced sales of all counties of a state."""
+    """Distinct priced rows of all counties of a state."""
     return positive(stacked_counties(spark, state, landing, as_of).distinct(), "last_sale_price")
 
 

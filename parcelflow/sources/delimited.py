@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow.functions.dates import parse_date
 from parcelflow.functions.numbers import to_number
@@ -44,25 +46,43 @@ def read_headerless(
     return with_types(rows, {c: (types or {}).get(c, "string") for c in columns})
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file, wherever Spark can read it."""
+    jvm = spark._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def read_with_header(
     spark: SparkSession, path: str, types: Mapping[str, str], name_filter: str = "*", separator: str = "\t"
 ) -> DataFrame:
     """All files below ``path`` whose name fits ``name_filter``, columns by header name.
 
-    The header of one file gives the names, and every other file must repeat it. Only the columns of
-    ``types`` are parsed.
+    Files are grouped by their header line and stacked by name, so their columns may stand in any order; a column of
+    ``types`` that a file lacks is missing there, and other columns are not parsed. Only names and headers of the files
+    reach the driver.
     """
-    options = {
-        "sep": separator,
-        "header": True,
-        "recursiveFileLookup": True,
-        "pathGlobFilter": name_filter,
-        "quote": '"',
-        "escape": '"',
-    }
-    header = spark.read.options(**options).csv(path).schema
-    rows = spark.read.options(**options, enforceSchema=False).schema(header).csv(path)
-    return with_types(rows, types)
+    found = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=name_filter).load(path)
+    by_header: dict[str, list[str]] = {}
+    for row in found.select("path").orderBy("path").collect():
+        by_header.setdefault(_first_line(spark, row["path"]), []).append(row["path"])
+    if not by_header:
+        return with_types(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in types)), types)
+    options = {"sep": separator, "header": True, "quote": '"', "escape": '"', "enforceSchema": True}
+    frames = []
+    for header, paths in by_header.items():
+        names = next(csv.reader([header], delimiter=separator), [])
+        schema = T.StructType([T.StructField(n.strip(), T.StringType()) for n in names])
+        rows = spark.read.options(**options).schema(schema).csv(paths)
+        frames.append(rows.select(*[F.col(f"`{c}`") for c in types if c in schema.names]))
+    stacked = stack_formats(frames)
+    lacking = {c: F.lit(None).cast("string") for c in types if c not in stacked.columns}
+    return with_types(stacked.withColumns(lacking) if lacking else stacked, types)
 
 
 def without_repeated_headers(df: DataFrame, column: str, word: str) -> DataFrame:

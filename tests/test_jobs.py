@@ -64,6 +64,15 @@ def test_stages_are_reused(spark, config, raw):
     assert stages.is_complete(spark, config.path("2-dictionary"))
 
 
+def test_another_as_of_builds_the_stage_again(spark, config, raw):
+    later = etl.EtlConfig(config.root, config.state, config.run_date, D(2022, 12, 2))
+    assert later.landing == config.landing and not stages.is_complete(spark, later.path("1-raw"))
+    assert etl.raw_stage(spark, later).count() == raw.count()
+    assert stages.is_complete(spark, later.path("1-raw"))
+    wide, narrow = (forecast.ForecastConfig(config, tenure=t) for t in ((10, 20), (5, 20)))
+    assert wide.prepared("test") != narrow.prepared("test") and wide.model_path("x") != narrow.model_path("x")
+
+
 def test_predictions(spark, config, published):
     assert published.columns == list(forecast.PUBLISHED.values())
     assert published.count() == published.select(*etl.PREDICTION_KEYS).distinct().count() > 0
@@ -114,7 +123,7 @@ def test_later_sales_fill_open_predictions(spark, config, published):
 
 
 def test_exploration(spark, config, published):
-    train = spark.read.parquet(config.path("3-prepared/train"))
+    train = spark.read.parquet(forecast.ForecastConfig(config).prepared("train"))
     profiles = explore.describe(train.select("total_sales", "AreaBuilding", "PropertyUseGroup"))
     assert {r["column"] for r in profiles["numeric"].collect()} == {"total_sales", "AreaBuilding"}
     assert profiles["text"].first()["top"] in ("Condo", "Residential")
