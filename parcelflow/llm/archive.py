@@ -44,7 +44,7 @@ def stored(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", le
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("n_bytes", F.octet_length("payload").cast("long"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256))).withColumn("n_bytes", F.octet_length("payload").cast("long"))
     slim = rows.select("page_id", "url", "row", "digest", "n_bytes", F.sha1("payload").alias("sha1"))
     slim.write.parquet(f"{folder}/rows")
     spark = pages.sparkSession
@@ -78,9 +78,8 @@ def stored(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", le
         _line("Content-Type", F.lit("application/http; msgtype=response")), _line("Content-Length", length.cast("string")), F.lit(_END + _HTTP),
     )
     joined.select("page_id", kind.alias("record_type"), header.alias("header"), "digest").write.parquet(f"{folder}/headers")
-    # The bytes themselves: once for each digest, from any page that has them.
-    keep = rows.select("page_id", "digest", "payload").join(heads.select("digest", F.col("best.page_id").alias("of")), "digest")
-    keep = keep.where(F.col("page_id").eqNullSafe(F.col("of"))).select("digest", "payload").dropDuplicates(["digest"])
+    # The bytes themselves: one of each digest leaves a map task, and one is kept.
+    keep = rows.groupBy("digest").agg(F.any_value("payload").alias("payload"))
     keep.write.option("compression", "zstd").parquet(f"{folder}/payloads")
 
 
@@ -90,7 +89,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     Every payload is checked against the digest that it is stored under.
     """
     payloads = spark.read.parquet(f"{folder}/payloads")
-    sound = F.assert_true(F.sha2("payload", 256) == F.col("digest"), F.lit("a stored payload does not match its digest"))
+    sound = F.assert_true(F.unhex(F.sha2("payload", 256)) == F.col("digest"), F.lit("a stored payload does not match its digest"))
     payloads = payloads.select("digest", F.when(sound.isNull(), F.col("payload")).alias("payload"))
     headers = spark.read.parquet(f"{folder}/headers")
     full = headers.where("record_type = 'response'").join(payloads, "digest", "left")
