@@ -56,8 +56,8 @@ def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Recor
 
 
 def slices_for(rows: int) -> int:
-    """A power of two near a quarter of the square root: neither the slices nor the rows of one grow with the table alone."""
-    return 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(rows) / 4))))
+    """A power of two near the square root: neither the slices nor the rows of one grow with the table alone."""
+    return 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(rows)))))
 
 
 def running(df: DataFrame, group: Sequence[str], spread: Column, order: Sequence[str], weight: Column, name: str) -> DataFrame:
