@@ -162,7 +162,6 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("low"))
         lower = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("was"), F.least("label", "low").alias("label"))
-        lower = written(lower)
         onward = lower.select(F.col("node").alias("at"), F.col("label").alias("onward"))
         moved = written(lower.join(onward, F.col("label") == F.col("at")).select("node", "was", F.least("label", "onward").alias("label")))
         labels = moved.select("node", "label")
@@ -170,10 +169,14 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             return labels
 
 
-def _links(members: DataFrame, sketch: DataFrame, texts: DataFrame, rounds: int) -> DataFrame:
-    """Verified links inside of buckets. ``members``: key, node, weight; ``sketch``: node, sketch."""
+def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight.
+
+    A round's leaders meet all that is not in their class. Rounds go on until one adds no link, and each takes only the
+    buckets that still hold more than one class.
+    """
     spark, links, tested, labels, bucket = members.sparkSession, None, None, None, None
-    for _ in range(rounds):
+    while True:
         labelled = members.withColumn("label", F.col("node"))
         if labels is not None:
             found = labels.select(F.col("node").alias("of"), F.col("label").alias("found"))
@@ -191,26 +194,28 @@ def _links(members: DataFrame, sketch: DataFrame, texts: DataFrame, rounds: int)
             open_.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"), "label")).alias("best"))
             .select("key", (-F.col("best.less")).alias("leader"), F.col("best.label").alias("leader_label"))
         )
-        pairs = labelled.join(bucket, "key").where("label != leader_label").select("leader", "node").distinct()
+        # Buckets without a leader are done; the others go on to the next round.
+        met = written(labelled.join(bucket, "key"))
+        members = met.select("key", "node", "weight")
+        pairs = met.where("label != leader_label").select("leader", "node").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "node"], "left_anti")
         a = sketch.select(F.col("node").alias("leader"), F.col("sketch").alias("x"))
         b = sketch.select("node", F.col("sketch").alias("y"))
         shared = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda same: same))
-        pairs = written(pairs).join(a, "leader").join(b, "node").where(shared >= SHARED)
-        pairs = written(pairs.select("leader", "node"))
+        pairs = written(pairs.join(a, "leader").join(b, "node").where(shared >= SHARED).select("leader", "node"))
         tested = pairs if tested is None else tested.union(pairs)
         left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
         right = texts.select("node", F.col("text").alias("right_text"))
-        more = written(mapped(pairs.join(left, "leader").join(right, "node"), _verify, "leader long, node long").distinct())
+        more = written(mapped(pairs.join(left, "leader").join(right, "node"), _verify, "leader long, node long"))
         links = more if links is None else links.union(more)
         if more.isEmpty():
             break
         labels = components(links, "leader", "node")
-    return links if links is not None else spark.createDataFrame([], "leader long, node long")
+    return labels if labels is not None else spark.createDataFrame([], "node long, label long")
 
 
-def classes(docs: DataFrame, rounds: int = 4) -> DataFrame:
+def classes(docs: DataFrame) -> DataFrame:
     """The class of near duplicates of each row of ``docs`` (doc_id, text; ``key`` hashes all columns of a row).
 
     Columns: id (doc_id, a missing one last), key, row, size (shingles), class_id (smallest doc_id of the class) and
@@ -235,8 +240,7 @@ def classes(docs: DataFrame, rounds: int = 4) -> DataFrame:
     members = written(entries.join(weights, "node").select("key", "node", "weight"))
     met = written(sketch.join(weights.select("node"), "node"))
     texts = source.join(met.select("node", "id", "key"), ["id", "key"]).select("node", "text")
-    links = _links(members, met.select("node", "sketch"), written(texts), rounds)
-    labels = components(links, "leader", "node")
+    labels = _labels(members, met.select("node", "sketch"), written(texts))
     joined = nodes.join(labels, "node", "left").select("digest", "node", "first_id", F.coalesce("label", "node").alias("label"))
     joined = written(joined)
     # The member of a class that stays: smallest doc_id, then smallest row.
