@@ -6,8 +6,9 @@ sketch are candidates, and a banded alignment of their shingles verifies them: t
 the same order, no further apart than an alignment of the wanted similarity allows, over all shingles of either.
 
 Texts with the same words are compared once. Inside of a bucket nobody is paired with everybody: a leader is compared
-with the other members, what it resembles joins its class, and what has no class in common with it is looked at again
-in the next round with leaders of its own. Labels of classes travel along the links until nothing changes.
+with the other members, what it resembles joins its class, and the rest is looked at again in the next round with other
+leaders, until all members that have not led are in one class. Labels of classes travel along the links until nothing
+changes.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ SIMILARITY = 0.8
 SKETCHES, KEPT = 20, 4
 #: Sketches that two texts must share to be aligned; at a similarity of 0.8 all but 4 of 10,000 do.
 SHARED = 2
+#: Leaders that a bucket may have in a round.
+MOST_LEADERS = 512
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 
 
@@ -120,21 +123,22 @@ def alike(left: np.ndarray, right: np.ndarray, left_new: np.ndarray, right_new:
 def _describe(batch: pa.RecordBatch):
     for row, texts in pieces(batch, batch["text"], PIECE_BYTES):
         words = Words(texts, SPACED)
-        labelled, first, _ = shingles(words)
+        labelled, first, new = shingles(words)
         each = [sketches(labelled[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         digests = [
             hashlib.sha256(b" ".join(words.data[a:b].tobytes().split())).digest()
             for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)
         ]
         here, sizes = batch.slice(row, len(texts)), np.diff(first)
+        news = np.diff(np.concatenate(([0], np.cumsum(new)))[first])
         ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, SKETCHES, 0))))
         keys = np.concatenate([*each, np.zeros(0, np.uint64)])
         yield pa.record_batch(
             [
-                here["id"], here["key"], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                here["id"], here["key"], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(news, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64))),
             ],
-            ["id", "key", "digest", "size", "sketch"],
+            ["id", "key", "digest", "size", "news", "sketch"],
         )
 
 
@@ -169,35 +173,43 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             return labels
 
 
+def _near_in(one: str, other: str) -> Column:
+    """Whether two numbers of shingles are near enough for texts with so many to be alike."""
+    return F.least(one, other) >= F.lit(SIMILARITY) * F.greatest(one, other) - 1e-6
+
+
 def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight.
+    """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight, size, news.
 
-    A round's leaders meet all that is not in their class. Rounds go on until one adds no link, and each takes only the
-    buckets that still hold more than one class.
+    A leader meets all members of its bucket that are not in its class, and then leaves the bucket, because it has
+    nobody left to meet there. The largest class of a bucket never leads, as the others come to it. Each round takes
+    twice the leaders of the last, so a bucket of n classes needs about log n rounds.
     """
-    spark, links, tested, labels, bucket = members.sparkSession, None, None, None, None
+    spark, links, tested, labels, leaders = members.sparkSession, None, None, None, 1
+    kept = [F.col("key"), F.col("node"), F.col("weight"), F.col("size"), F.col("news")]
     while True:
         labelled = members.withColumn("label", F.col("node"))
         if labels is not None:
             found = labels.select(F.col("node").alias("of"), F.col("label").alias("found"))
             labelled = written(
-                members.join(found, F.col("node") == F.col("of"), "left")
-                .select("key", "node", "weight", F.coalesce("found", "node").alias("label"))
+                members.join(found, F.col("node") == F.col("of"), "left").select(*kept, F.coalesce("found", "node").alias("label"))
             )
-        # The leader of a round: the member that shares most with others, among those without the last leader's label.
-        open_ = labelled
-        if bucket is not None:
-            last = bucket.select("key", F.col("leader").alias("last"))
-            last = written(last.join(labels, F.col("last") == F.col("node"), "left").select("key", F.coalesce("label", "last").alias("last_label")))
-            open_ = labelled.join(last, "key").where("label != last_label")
+        # The class that never leads: the one with most members, of equal ones the one that shares least with others.
+        each = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.max("weight").alias("heaviest"))
+        largest = F.max(F.struct("n", (-F.col("heaviest")).alias("less"), "label")).alias("largest")
+        main = written(
+            each.groupBy("key").agg(F.count("*").alias("n_classes"), largest).where("n_classes > 1")
+            .select("key", F.col("largest.label").alias("main"))
+        )
+        # Buckets whose members share one label are done; the others go on to the next round.
+        open_ = labelled.join(main, "key")
+        place = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "node"))
         bucket = written(
-            open_.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"), "label")).alias("best"))
-            .select("key", (-F.col("best.less")).alias("leader"), F.col("best.label").alias("leader_label"))
+            open_.where("label != main").withColumn("place", place).where(F.col("place") <= leaders)
+            .select("key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("size").alias("leader_size"), F.col("news").alias("leader_news"))
         )
-        # Buckets without a leader are done; the others go on to the next round.
-        met = written(labelled.join(bucket, "key"))
-        members = met.select("key", "node", "weight")
-        pairs = met.where("label != leader_label").select("leader", "node").distinct()
+        met = open_.join(bucket, "key").where("label != leader_label").where(_near_in("size", "leader_size") | _near_in("news", "leader_news"))
+        pairs = met.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "node"], "left_anti")
         a = sketch.select(F.col("node").alias("leader"), F.col("sketch").alias("x"))
@@ -212,6 +224,8 @@ def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFram
         if more.isEmpty():
             break
         labels = components(links, "leader", "node")
+        led = bucket.select("key", F.col("leader").alias("node"))
+        members, leaders = open_.join(led, ["key", "node"], "left_anti").select(*kept), min(2 * leaders, MOST_LEADERS)
     return labels if labels is not None else spark.createDataFrame([], "node long, label long")
 
 
@@ -224,20 +238,21 @@ def classes(docs: DataFrame) -> DataFrame:
     A null text and one without words is a class of its own. Repeated rows are copies of each other.
     """
     source = docs.select(row_id().alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"), "text")
-    described = mapped(source, _describe, "id long, key long, digest binary, size long, sketch array<long>")
+    described = mapped(source, _describe, "id long, key long, digest binary, size long, news long, sketch array<long>")
     described = written(described.withColumn("row", F.monotonically_increasing_id()))
     first = F.min(F.struct("id", "row"))
     nodes = written(
         described.where("size > 0").groupBy("digest").agg(first.alias("f"))
         .select("digest", F.col("f.row").alias("node"), F.col("f.id").alias("first_id"))
     )
-    sketch = described.join(nodes.select("node"), F.col("row") == F.col("node")).select("node", "id", "key", "size", "sketch")
+    sketch = described.join(nodes.select("node"), F.col("row") == F.col("node")).select("node", "id", "key", "size", "news", "sketch")
     sketch = written(sketch)
     entries = sketch.select("node", F.explode("sketch").alias("bucket"))
     shared = written(entries.groupBy(F.col("bucket").alias("key")).agg(F.count("*").alias("n")).where("n > 1"))
     entries = written(entries.join(shared, F.col("bucket") == F.col("key")).select("key", "node", "n"))
     weights = written(entries.groupBy("node").agg(F.sum("n").alias("weight")))
-    members = written(entries.join(weights, "node").select("key", "node", "weight"))
+    sizes = sketch.select("node", "size", "news")
+    members = written(entries.join(weights, "node").join(sizes, "node").select("key", "node", "weight", "size", "news"))
     met = written(sketch.join(weights.select("node"), "node"))
     texts = source.join(met.select("node", "id", "key"), ["id", "key"]).select("node", "text")
     labels = _labels(members, met.select("node", "sketch"), written(texts))

@@ -144,6 +144,26 @@ def test_near_copies_of_a_hot_group(spark):
     assert {r["class_id"] for r in found} == {0, 900}
 
 
+def _linked(spark, members, texts):
+    """Label of each node after all rounds. ``members``: nodes of each bucket, the smallest ones the heaviest."""
+    size = {n: max(1, len(t.split()) - 4) for n, t in texts.items()}
+    rows = [(key, n, 1_000 - n, size[n], size[n]) for key, nodes in members.items() for n in nodes]
+    members = spark.createDataFrame(rows, "key long, node long, weight long, size long, news long")
+    sketch = spark.createDataFrame([(n, [1, 2]) for n in texts], "node long, sketch array<long>")
+    found = near._labels(members, sketch, spark.createDataFrame(list(texts.items()), "node long, text string"))
+    return {n: n for n in texts} | {r["node"]: r["label"] for r in found.collect()}
+
+
+def _text(name, edited=None):
+    return " ".join("edited" if i == edited else f"{name}{i}" for i in range(100))
+
+
+def test_near_third_class_of_a_bucket_leads(spark):
+    """Two heavy members like nothing else, and near copies behind them; another bucket gains its link first."""
+    texts = {1: _text("p"), 2: _text("q"), 3: _text("b"), 4: _text("b", 50), 5: _text("x"), 6: _text("x", 50)}
+    assert _linked(spark, {70: [1, 2, 3, 4], 71: [5, 6]}, texts) == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 5}
+
+
 def test_near_edges(spark):
     docs = documents(spark)
     kept = near.without_copies(docs)
