@@ -182,8 +182,10 @@ def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFram
     """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight, size, news.
 
     A leader meets all members of its bucket that are not in its class, and then leaves the bucket, because it has
-    nobody left to meet there. The largest class of a bucket never leads, as the others come to it. Each round takes
-    twice the leaders of the last, so a bucket of n classes needs about log n rounds.
+    nobody left to meet there. Rounds go on until no bucket holds more than one class of members that have not led, so
+    every pair of a bucket is compared unless links already connect it. The largest class of a bucket never leads, as
+    the others come to it. Each round takes twice the leaders of the last, so a bucket of n classes needs about log n
+    rounds.
     """
     spark, links, tested, labels, leaders = members.sparkSession, None, None, None, 1
     kept = [F.col("key"), F.col("node"), F.col("weight"), F.col("size"), F.col("news")]
@@ -201,7 +203,9 @@ def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFram
             each.groupBy("key").agg(F.count("*").alias("n_classes"), largest).where("n_classes > 1")
             .select("key", F.col("largest.label").alias("main"))
         )
-        # Buckets whose members share one label are done; the others go on to the next round.
+        # Buckets whose members share one label are done, each on its own; the others go on to the next round.
+        if main.isEmpty():
+            break
         open_ = labelled.join(main, "key")
         place = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "node"))
         bucket = written(
@@ -220,10 +224,9 @@ def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFram
         left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
         right = texts.select("node", F.col("text").alias("right_text"))
         more = written(mapped(pairs.join(left, "leader").join(right, "node"), _verify, "leader long, node long"))
-        links = more if links is None else links.union(more)
-        if more.isEmpty():
-            break
-        labels = components(links, "leader", "node")
+        if not more.isEmpty():
+            links = more if links is None else links.union(more)
+            labels = components(links, "leader", "node")
         led = bucket.select("key", F.col("leader").alias("node"))
         members, leaders = open_.join(led, ["key", "node"], "left_anti").select(*kept), min(2 * leaders, MOST_LEADERS)
     return labels if labels is not None else spark.createDataFrame([], "node long, label long")

@@ -164,6 +164,14 @@ def test_near_third_class_of_a_bucket_leads(spark):
     assert _linked(spark, {70: [1, 2, 3, 4], 71: [5, 6]}, texts) == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 5}
 
 
+def test_near_buckets_end_on_their_own(spark):
+    """Near copies behind members like nothing else, when no other bucket gains a link and after many rounds."""
+    texts = {n: _text(f"p{n}_") for n in range(1, 40)} | {50: _text("b"), 51: _text("b", 50), 52: _text("c"), 53: _text("c", 50)}
+    want = {n: n for n in texts} | {51: 50, 53: 52}
+    assert _linked(spark, {70: [1, 50, 51]}, texts) == want | {52: 52, 53: 53}
+    assert _linked(spark, {70: list(texts)}, texts) == want
+
+
 def test_near_edges(spark):
     docs = documents(spark)
     kept = near.without_copies(docs)
