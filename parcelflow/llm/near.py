@@ -27,10 +27,10 @@ from parcelflow.llm.words import SPACED, Words, mixed, paired, pieces, windows
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Sketches of a text, and the shingles that each keeps: 0.8 ** 4 to the 20th sketch misses 1 of 30,000 at 0.8.
-SKETCHES, KEPT = 20, 4
-#: Sketches that two texts must share to be aligned; at a similarity of 0.8 all but 4 of 10,000 do.
-SHARED = 2
+#: Sketches of a text, and the shingles that each keeps. Texts that share one are aligned. Shingles are drawn without
+#: replacement: of u shingles, i of them aligned, a sketch agrees with i over KEPT out of u over KEPT. At 4 of 5, the
+#: worst case at 0.8, that is 0.4, and 3 of 10,000 pairs share none of the sketches.
+SKETCHES, KEPT = 16, 3
 #: Leaders that a bucket may have in a round.
 MOST_LEADERS = 512
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
@@ -178,7 +178,7 @@ def _near_in(one: str, other: str) -> Column:
     return F.least(one, other) >= F.lit(SIMILARITY) * F.greatest(one, other) - 1e-6
 
 
-def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFrame:
+def _labels(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight, size, news.
 
     A leader meets all members of its bucket that are not in its class, and then leaves the bucket, because it has
@@ -216,10 +216,7 @@ def _labels(members: DataFrame, sketch: DataFrame, texts: DataFrame) -> DataFram
         pairs = met.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "node"], "left_anti")
-        a = sketch.select(F.col("node").alias("leader"), F.col("sketch").alias("x"))
-        b = sketch.select("node", F.col("sketch").alias("y"))
-        shared = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda same: same))
-        pairs = written(pairs.join(a, "leader").join(b, "node").where(shared >= SHARED).select("leader", "node"))
+        pairs = written(pairs)
         tested = pairs if tested is None else tested.union(pairs)
         left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
         right = texts.select("node", F.col("text").alias("right_text"))
@@ -256,9 +253,9 @@ def classes(docs: DataFrame) -> DataFrame:
     weights = written(entries.groupBy("node").agg(F.sum("n").alias("weight")))
     sizes = sketch.select("node", "size", "news")
     members = written(entries.join(weights, "node").join(sizes, "node").select("key", "node", "weight", "size", "news"))
-    met = written(sketch.join(weights.select("node"), "node"))
+    met = sketch.join(weights.select("node"), "node")
     texts = source.join(met.select("node", "id", "key"), ["id", "key"]).select("node", "text")
-    labels = _labels(members, met.select("node", "sketch"), written(texts))
+    labels = _labels(members, written(texts))
     joined = nodes.join(labels, "node", "left").select("digest", "node", "first_id", F.coalesce("label", "node").alias("label"))
     joined = written(joined)
     # The member of a class that stays: smallest doc_id, then smallest row.

@@ -149,8 +149,7 @@ def _linked(spark, members, texts):
     size = {n: max(1, len(t.split()) - 4) for n, t in texts.items()}
     rows = [(key, n, 1_000 - n, size[n], size[n]) for key, nodes in members.items() for n in nodes]
     members = spark.createDataFrame(rows, "key long, node long, weight long, size long, news long")
-    sketch = spark.createDataFrame([(n, [1, 2]) for n in texts], "node long, sketch array<long>")
-    found = near._labels(members, sketch, spark.createDataFrame(list(texts.items()), "node long, text string"))
+    found = near._labels(members, spark.createDataFrame(list(texts.items()), "node long, text string"))
     return {n: n for n in texts} | {r["node"]: r["label"] for r in found.collect()}
 
 
@@ -172,6 +171,13 @@ def test_near_buckets_end_on_their_own(spark):
     assert _linked(spark, {70: list(texts)}, texts) == want
 
 
+def test_near_copies_of_few_words(spark):
+    """Four of five shingles are alike: 0.8 exactly."""
+    rows = [(2 * i + more, " ".join(f"w{i}_{k}" for k in range(8 + more))) for i in range(400) for more in (0, 1)]
+    found = near.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["class_id"] for r in found} == {2 * i for i in range(400)}
+
+
 def test_near_edges(spark):
     docs = documents(spark)
     kept = near.without_copies(docs)
