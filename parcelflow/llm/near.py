@@ -1,9 +1,10 @@
 """Near duplicates by Order MinHash, which is sensitive to edit similarity.
 
 A text is the sequence of its five-word shingles, each labelled with how often it has occurred in the text before. A
-sketch takes the few shingles with the smallest hashes and keeps them in the order of the text. Texts that share a
-sketch are candidates, and a banded alignment of their shingles verifies them: the longest run of shared shingles in
-the same order, no further apart than an alignment of the wanted similarity allows, over all shingles of either.
+sketch takes the few shingles with the smallest hashes and keeps them in the order of the text; a text with repeated
+shingles has sketches of their first occurrences as well. Texts that share a sketch are candidates, and a banded
+alignment of their shingles verifies them: the longest run of shared shingles in the same order, no further apart than
+an alignment of the wanted similarity allows, over all shingles of either.
 
 Texts with the same words are compared once. Inside of a bucket nobody is paired with everybody: a leader is compared
 with the other members, what it resembles joins its class, and the rest is looked at again in the next round with other
@@ -120,18 +121,27 @@ def alike(left: np.ndarray, right: np.ndarray, left_new: np.ndarray, right_new:
     return similarity(left, right) >= SIMILARITY or similarity(left[left_new], right[right_new]) >= SIMILARITY
 
 
+def buckets(text: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Sketches of a text, and of its first occurrences alone where some shingles are repeated, each once.
+
+    Both kinds are looked up among each other, because texts are alike by either. First occurrences have the label 0,
+    so a text without repeated shingles has the same sketches of both kinds.
+    """
+    return sketches(text) if new.all() else np.unique(np.concatenate((sketches(text), sketches(text[new]))))
+
+
 def _describe(batch: pa.RecordBatch):
     for row, texts in pieces(batch, batch["text"], PIECE_BYTES):
         words = Words(texts, SPACED)
         labelled, first, new = shingles(words)
-        each = [sketches(labelled[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        each = [buckets(labelled[a:b], new[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         digests = [
             hashlib.sha256(b" ".join(words.data[a:b].tobytes().split())).digest()
             for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)
         ]
         here, sizes = batch.slice(row, len(texts)), np.diff(first)
         news = np.diff(np.concatenate(([0], np.cumsum(new)))[first])
-        ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, SKETCHES, 0))))
+        ends = np.cumsum([0, *map(len, each)])
         keys = np.concatenate([*each, np.zeros(0, np.uint64)])
         yield pa.record_batch(
             [

@@ -178,6 +178,15 @@ def test_near_copies_of_few_words(spark):
     assert {r["class_id"] for r in found} == {2 * i for i in range(400)}
 
 
+def test_near_copies_with_a_repeated_line(spark):
+    """Alike by first occurrences alone: one of two has a further line many times."""
+    lines = [" ".join(f"t{i}_{k}" for k in range(204)) for i in range(20)]
+    extra = [" ".join(" ".join(f"l{i}_{k}" for k in range(10)) for _ in range(50)) for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(lines)] + [(100 + i, f"{t}\n{x}") for i, (t, x) in enumerate(zip(lines, extra, strict=True))]
+    found = near.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["id"]: r["class_id"] for r in found} == {i: i for i in range(20)} | {100 + i: i for i in range(20)}
+
+
 def test_near_edges(spark):
     docs = documents(spark)
     kept = near.without_copies(docs)
