@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, chat, mixing, near, quality, sharding, substrings, suffixes, tokens, toxicity
+from parcelflow.llm import archive, chat, middle, mixing, near, quality, sharding, substrings, suffixes, tokens, toxicity
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -171,3 +171,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_sharding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"), shards=40)
+
+
+_MIDDLE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS ls,
+    [('0x' || substr(h, CAST(1 + 8 * i AS INT), 8))::BIGINT for i in range(4)] AS hs FROM d),
+c AS (SELECT *, len(ls) AS n, least(hs[1] % (len(ls) + 1), hs[2] % (len(ls) + 1)) AS a, greatest(hs[1] % (len(ls) + 1), hs[2] % (len(ls) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 100 THEN 'plain'
+        WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (SELECT *, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a + 1:b], '') AS mid, array_to_string(ls[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", _MIDDLE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.digests(table(spark, folder, "documents"))
