@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, chat, middle, mixing, near, quality, sharding, substrings, suffixes, tokens, toxicity
+from parcelflow.llm import archive, chat, middle, mixing, near, nearest, quality, sharding, substrings, suffixes, tokens, toxicity
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -192,3 +192,8 @@ FROM p
 @query("op11_fill_in_middle", _MIDDLE_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return middle.digests(table(spark, folder, "documents"))
+
+
+@query("op12_nearest_neighbours")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.named(nearest.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, count=20).found)
