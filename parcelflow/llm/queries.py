@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import archive, chat, middle, mixing, near, nearest, quality, sharding, substrings, suffixes, tokens, toxicity
+from parcelflow.llm import archive, chat, middle, mixing, near, nearest, quality, repair, sharding, substrings, suffixes, tokens, toxicity
 from parcelflow.llm.shared import LAST_ID, table, written
 from parcelflow.operators.positions import with_position
 
@@ -197,3 +197,20 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_nearest_neighbours")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.named(nearest.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, count=20).found)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` (conv_id, turn, role, text) with what a crc32 of conversation and turn does to each; nulls are one blank."""
+    at = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fate = F.crc32(F.concat(at[0], F.lit(":"), at[1]).cast("binary")) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    told = rows.select("conv_id", "turn", F.when(fate == 4, "user").otherwise(role).alias("role"), text.alias("text"), fate.alias("fate"))
+    copies = F.explode(F.when(F.col("fate") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return told.where("fate <> 0").select("conv_id", "turn", "role", "text", copies).drop("copy")
+
+
+@query("op13_conversation_repair")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.reported(damaged(rows), rows)
