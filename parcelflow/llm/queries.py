@@ -210,7 +210,54 @@ def damaged(rows: DataFrame) -> DataFrame:
     return told.where("fate <> 0").select("conv_id", "turn", "role", "text", copies).drop("copy")
 
 
-@query("op13_conversation_repair")
+_REPAIR_SQL = r"""
+WITH k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+f AS (SELECT *, xor(list_reduce(list_prepend(4294967295, [ascii(c)::BIGINT for c in string_split(name, '')]),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 20 AS fate FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE fate WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fate <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM d),
+g AS (SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+    substr(role, 1, 1) AS own, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM n),
+r AS (SELECT conv_id, list({'role': role, 'text': text, 'own': own, 'fault': fault} ORDER BY place) AS told,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate,
+    count_if(fault = 't') AS truncated, count_if(before IS NOT NULL AND before || own NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+w AS (SELECT list({'a': a, 'z': z, 'e': e, 'c': c, 'op': op, 'own': own}) AS ways FROM (VALUES
+    (1, 1, 'D', 3, 'D', ''), (1, 3, 'ID', 5, 'D', ''), (1, 4, 'IID', 7, 'D', ''), (1, 2, 'K', 0, 'K', 's'), (1, 3, 'K', 0, 'K', 'u'), (1, 4, 'IK', 2, 'K', 'a'),
+    (1, 3, 'IIK', 4, 'K', 'u'), (1, 3, 'R', 2, 'R', ''), (1, 4, 'IR', 4, 'R', ''), (1, 3, 'IIR', 6, 'R', ''),
+    (2, 2, 'D', 3, 'D', ''), (2, 3, 'ID', 5, 'D', ''), (2, 4, 'IID', 7, 'D', ''), (2, 3, 'K', 0, 'K', 'u'), (2, 4, 'IK', 2, 'K', 'a'),
+    (2, 3, 'IIK', 4, 'K', 'u'), (2, 3, 'R', 2, 'R', ''), (2, 4, 'IR', 4, 'R', ''), (2, 3, 'IIR', 6, 'R', ''),
+    (3, 3, 'D', 3, 'D', ''), (3, 4, 'ID', 5, 'D', ''), (3, 4, 'K', 0, 'K', 'a'), (3, 3, 'IK', 2, 'K', 'u'), (3, 4, 'R', 2, 'R', ''), (3, 3, 'IR', 4, 'R', ''),
+    (4, 4, 'D', 3, 'D', ''), (4, 3, 'ID', 5, 'D', ''), (4, 3, 'K', 0, 'K', 'u'), (4, 4, 'IK', 2, 'K', 'a'), (4, 3, 'R', 2, 'R', ''), (4, 4, 'IR', 4, 'R', '')
+    ) AS v(a, z, e, c, op, own)),
+p AS (SELECT conv_id, list_reduce(list_prepend({'best_to': ['000000000', NULL, NULL, NULL], 'own': '', 'fault': ''},
+        [{'best_to': [NULL::VARCHAR, NULL, NULL, NULL], 'own': x.own, 'fault': x.fault} for x in told]),
+    lambda s, x: {'best_to': [list_min([lpad(CAST(substr(s.best_to[v.a], 1, 9)::BIGINT + v.c + CASE WHEN v.op <> 'D' AND x.fault = 't' THEN 1 ELSE 0 END AS VARCHAR), 9, '0')
+            || substr(s.best_to[v.a], 10) || v.e for v in ways
+            if v.z = z AND s.best_to[v.a] IS NOT NULL AND (v.op = 'D' OR (x.fault IN ('k', 't') AND (v.op = 'R' OR v.own = x.own)))]) for z in [1, 2, 3, 4]],
+        'own': x.own, 'fault': x.fault}).best_to AS best_to FROM r, w),
+b AS (SELECT conv_id, list_min([t for t in [best_to[1], best_to[4], lpad(CAST(substr(best_to[2], 1, 9)::BIGINT + 4 AS VARCHAR), 9, '0') || substr(best_to[2], 10) || 'II',
+    lpad(CAST(substr(best_to[3], 1, 9)::BIGINT + 2 AS VARCHAR), 9, '0') || substr(best_to[3], 10) || 'I'] if t IS NOT NULL]) AS best FROM p),
+a AS (SELECT conv_id, CAST(substr(best, 1, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM b),
+s AS (SELECT a.conv_id, list_reduce(list_prepend({'state': '', 'row': 0, 'out': '', 'op': ''},
+        [{'state': '', 'row': 0, 'out': '', 'op': o} for o in string_split(audit, '')]),
+    lambda s, x: {'state': CASE WHEN x.op = 'D' THEN s.state WHEN x.op = 'K' THEN told[s.row + 1].own WHEN s.state = 'u' THEN 'a' ELSE 'u' END,
+        'row': s.row + CASE WHEN x.op = 'I' THEN 0 ELSE 1 END,
+        'out': s.out || CASE WHEN x.op = 'D' THEN '' ELSE chr(10) || CASE WHEN x.op = 'K' THEN told[s.row + 1].role WHEN s.state = 'u' THEN 'assistant' ELSE 'user' END
+            || ':' || CASE WHEN x.op = 'I' THEN '' ELSE told[s.row + 1].text END END,
+        'op': x.op}).out AS out FROM a JOIN r ON a.conv_id IS NOT DISTINCT FROM r.conv_id WHERE audit <> '')
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(substr(out, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+    LEFT JOIN a ON o.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+
+@query("op13_conversation_repair", _REPAIR_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return repair.reported(damaged(rows), rows)

@@ -121,6 +121,10 @@ def test_query_over_its_table(spark):
     assert got == expected(damage(rows), [r[0] for r in rows])
 
 
+def test_same_rows_as_sql(spark):
+    assert compare(spark, FOLDER, "op13_conversation_repair", database(FOLDER)) == ""
+
+
 def test_damage(spark):
     rows = strange()
     got = damaged(conversations(spark, rows).select("conv_id", "turn", "role", "text")).collect()
