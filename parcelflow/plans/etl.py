@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow import stages
-from parcelflow.checkpoints import checkpointed
 from parcelflow.functions.dates import january_first
 from parcelflow.functions.numbers import positive_or_null
 from parcelflow.functions.text import title_case
@@ -20,7 +19,7 @@ from parcelflow.operators.backfill import backfill_actuals, is_open
 from parcelflow.operators.dedup import last_per_period
 from parcelflow.operators.encode import fit_ordinal
 from parcelflow.operators.joins import positive
-from parcelflow.operators.upsert import ACTION, action_counts, upsert_with_action
+from parcelflow.periods import Merge, PeriodTable
 from parcelflow.sources import counties
 
 log = logging.getLogger(__name__)
@@ -76,6 +75,10 @@ CATEGORIES = (
 )
 
 
+OPEN_COLUMNS = ("actualSaleDate", "actualSalePrice")
+PERIOD = "predictionPeriodStart"
+
+
 @dataclass(frozen=True)
 class EtlConfig:
     root: str  # folder of all stages, on storage that the whole cluster sees
@@ -92,8 +95,8 @@ class EtlConfig:
         return f"{self.root}/etl/{self.run_date}/{self.state}/0-landing"
 
     @property
-    def predictions(self) -> str:
-        return f"{self.root}/predictions/{self.state}"
+    def predictions(self) -> PeriodTable:
+        return PeriodTable(f"{self.root}/predictions/{self.state}", PERIOD, is_open(OPEN_COLUMNS))
 
 
 def build_history(sales: DataFrame, assessor: DataFrame, valuations: DataFrame) -> DataFrame:
@@ -150,10 +153,6 @@ PREDICTION_KEYS = ("predictionPeriodStart", "predictionPeriodEnd", "parcel", "co
 ACTUALS = {"actualSaleDate": "last_sale_date", "actualSalePrice": "last_sale_price", "goodSale": "good_sale"}
 
 
-OPEN_COLUMNS = ("actualSaleDate", "actualSalePrice")
-PARTITION = ("predictionPeriodStart",)
-
-
 def filled_predictions(predictions: DataFrame, raw: DataFrame) -> DataFrame:
     """Open predictions whose sale has happened since, with the actual values."""
     events = raw.withColumnsRenamed({"Parid": "parcel", "SitusCounty": "county", "SitusStateCode": "state"})
@@ -171,19 +170,17 @@ def filled_predictions(predictions: DataFrame, raw: DataFrame) -> DataFrame:
     )
 
 
-def backfill(spark: SparkSession, config: EtlConfig, raw: DataFrame) -> str | None:
-    """Write the next version of the prediction table with known outcomes filled in.
+def backfill(spark: SparkSession, config: EtlConfig, raw: DataFrame) -> Merge | None:
+    """Fill known outcomes into the prediction table.
 
-    Only open predictions are joined; closed ones are copied as they are.
+    Only periods that hold open predictions are read, and only those with a new outcome are written again.
     """
-    current = stages.read_current(spark, config.predictions)
-    if current is None:
+    pending = config.predictions.read(spark, open_only=True)
+    if pending is None:
         return None
-    pending, closed = current.where(is_open(OPEN_COLUMNS)), current.where(~is_open(OPEN_COLUMNS))
-    filled = upsert_with_action(pending, filled_predictions(pending, raw), PREDICTION_KEYS, [*ACTUALS, "updatedAt"])
-    filled = checkpointed(filled)
-    log.info("open predictions: %s", {r[ACTION]: r["n"] for r in action_counts(filled).collect()})
-    return stages.write_next(filled.drop(ACTION).unionByName(closed), config.predictions, PARTITION)
+    merge = config.predictions.merge(filled_predictions(pending, raw), PREDICTION_KEYS, [*ACTUALS, "updatedAt"])
+    log.info("open predictions: %s", merge.counts if merge else {})
+    return merge
 
 
 def run(spark: SparkSession, config: EtlConfig) -> DataFrame:

@@ -18,8 +18,8 @@ from parcelflow.operators.aggregates import label_balance
 from parcelflow.operators.encode import encode
 from parcelflow.operators.snapshot import current_snapshot
 from parcelflow.operators.splits import LABEL, PRICE_LABEL, TENURE_YEARS, Splits, modelling_rows, split_panel
-from parcelflow.operators.upsert import ACTION, action_counts, upsert_with_action
-from parcelflow.plans.etl import CATEGORIES, KEY, PARTITION, PREDICTION_KEYS, SALE_NUMBER, EtlConfig
+from parcelflow.periods import Merge
+from parcelflow.plans.etl import CATEGORIES, KEY, PREDICTION_KEYS, SALE_NUMBER, EtlConfig
 
 log = logging.getLogger(__name__)
 
@@ -189,27 +189,19 @@ def predict(scored: DataFrame, regressor, config: ForecastConfig) -> DataFrame:
     return publish(score.score_prices(likely, regressor, coded(PRICE_FEATURES), config.interval), config.calendar)
 
 
-def save_predictions(spark: SparkSession, predictions: DataFrame, config: ForecastConfig) -> str:
-    """Run output as Parquet and JSON, then the next version of the prediction table.
-
-    Only the predicted period of the table is joined with the new rows; the other periods are copied.
-    """
+def save_predictions(spark: SparkSession, predictions: DataFrame, config: ForecastConfig) -> Merge | None:
+    """Run output as Parquet and JSON, then into the prediction table, of which only the predicted period is touched."""
     output = config.etl.path("4-predictions")
     stages.write_stage(predictions, output)
     saved = spark.read.parquet(output)
     stages.write_json(saved, config.etl.path("4-predictions-json"))
-    current = stages.read_current(spark, config.etl.predictions)
-    table = saved
-    if current is not None:
-        same_period = F.col(PARTITION[0]).eqNullSafe(F.lit(config.calendar.prediction_start))
-        merged = checkpointed(upsert_with_action(current.where(same_period), saved, PREDICTION_KEYS))
-        log.info("predictions: %s", {r[ACTION]: r["n"] for r in action_counts(merged).collect()})
-        table = merged.drop(ACTION).unionByName(current.where(~same_period))
-    return stages.write_next(table.select(*PUBLISHED.values()), config.etl.predictions, PARTITION)
+    merge = config.etl.predictions.merge(saved.select(*PUBLISHED.values()), PREDICTION_KEYS)
+    log.info("predictions: %s", merge.counts if merge else {})
+    return merge
 
 
 def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
-    """Train, evaluate, predict and save; returns the newest version of the prediction table."""
+    """Train, evaluate, predict and save; returns the prediction table."""
     raw = spark.read.parquet(config.etl.path("1-raw"))
     dictionary = spark.read.parquet(config.etl.path("2-dictionary"))
     fresh = prepare(raw, config)
@@ -224,6 +216,7 @@ def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
     scored = checkpointed(scored_parcels(raw, dictionary, models[LABEL], config))
     counts = metrics.threshold_counts(scored, score.SCORE)
     log.info("likely parcels: %s", [r.asDict() for r in counts.collect()])
-    path = save_predictions(spark, predict(scored, models[PRICE_LABEL], config), config)
-    return spark.read.parquet(path).select(*PUBLISHED.values())
+    save_predictions(spark, predict(scored, models[PRICE_LABEL], config), config)
+    table = config.etl.predictions.read(spark)
+    return spark.read.parquet(config.etl.path("4-predictions")) if table is None else table
 

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path and the file system it lies in."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has finished: the committer leaves ``_SUCCESS`` last."""
-    marker, files = _file_system(spark, f"{path}/_SUCCESS")
+    marker, files = file_system(spark, f"{path}/_SUCCESS")
     return files.exists(marker)
 
 
@@ -33,25 +34,3 @@ def write_json(df: DataFrame, path: str) -> None:
     """One JSON object per line, missing values included."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
-
-def _versions(spark: SparkSession, root: str) -> list[str]:
-    folder, files = _file_system(spark, root)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return sorted(n for n in names if n.startswith("version=") and is_complete(spark, f"{root}/{n}"))
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest finished version of a table, or None if there is none yet."""
-    versions = _versions(spark, root)
-    return spark.read.parquet(f"{root}/{versions[-1]}") if versions else None
-
-
-def write_next(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write ``df`` as the next version. The one it was computed from stays readable meanwhile."""
-    versions = _versions(df.sparkSession, root)
-    number = int(versions[-1].split("=")[1]) + 1 if versions else 1
-    path = f"{root}/version={number:06d}"
-    write_stage(df, path, partition_by)
-    return path

@@ -36,7 +36,7 @@ def raw(spark, config):
 @pytest.fixture(scope="module")
 def published(spark, config, raw):
     settings = forecast.ForecastConfig(config, threshold=0.0, folds=2, max_iter=2, grid=[{"maxDepth": 2}])
-    return forecast.run(spark, settings)
+    return checkpointed(forecast.run(spark, settings))
 
 
 def test_history(spark, config, raw):
@@ -102,7 +102,8 @@ def test_saved_models_and_metrics(spark, config, published):
 def test_rerun_replaces_the_period(spark, config, published):
     same = checkpointed(spark.read.parquet(config.path("4-predictions")))
     again = forecast.save_predictions(spark, same, forecast.ForecastConfig(config))
-    assert spark.read.parquet(again).count() == published.count()
+    assert again.counts == {"inserted": 0, "updated": same.count(), "kept": 0}
+    assert config.predictions.read(spark).count() == published.count()
 
 
 def test_later_sales_fill_open_predictions(spark, config, published):
@@ -111,8 +112,11 @@ def test_later_sales_fill_open_predictions(spark, config, published):
     sold = next(p for p in parcels if p.number == 2 and p.county == "ohio-clermont")
     sold.sales.append((D(2022, 5, 17), 333_000.0))
     write_landing(Path(late.landing), parcels)
-    etl.run(spark, late)
-    current = stages.read_current(spark, late.predictions)
+    before = late.predictions.manifest(spark)
+    raw = etl.run(spark, late)
+    current = late.predictions.read(spark)
+    assert late.predictions.manifest(spark).version == before.version + 1
+    assert etl.backfill(spark, late, raw) is None  # nothing has happened since, so nothing is written
     assert current.count() == published.count()
     filled = current.where("actualSaleDate is not null and parcel = '%s'" % sold.key).collect()
     assert [(r["actualSaleDate"], r["actualSalePrice"]) for r in filled] == [(D(2022, 5, 17), 333_000.0)]
