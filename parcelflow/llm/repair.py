@@ -35,7 +35,7 @@ NOTHING, SYSTEM, USER, ASSISTANT = range(4)
 SOUND, TRUNCATED, BLANK, REPEATED = range(4)
 REROLE, DELETE, INSERT, LEFT_TRUNCATED = 2, 3, 2, 1
 #: Rows of a block.
-BLOCK = 1 << 16
+BLOCK = 1 << 13
 #: A conversation's inserted last turns stand in a block of their own, behind all others.
 _LAST_PART = (1 << 31) - 1
 
@@ -235,13 +235,18 @@ _EDITED = "conv long, part int, number int, audit string, uid array<long>, lette
 
 
 def _edited(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for i in range(batch.num_rows):
-        row = batch.slice(i, 1).to_pylist()[0]
+    out = []
+    for row in batch.to_pylist():
         codes = bytes([END]) if row["codes"] is None else row["codes"]
         letters, states = edits(codes, row["enters"], row["leaves"])
         uids = [None] if row["uids"] is None else np.frombuffer(row["uids"], np.int64).tolist()
-        out = {"audit": "".join(letters), "uid": uids, "letters": letters, "before": states[:-1], "after": states[1:]}
-        yield _batch([{c: row[c] for c in ("conv", "part", "number")} | out], _EDITED)
+        done = {"audit": "".join(letters), "uid": uids, "letters": letters, "before": states[:-1], "after": states[1:]}
+        out.append({c: row[c] for c in ("conv", "part", "number")} | done)
+        if len(letters) > 1024 or len(out) >= 1024:
+            yield _batch(out, _EDITED)
+            out = []
+    if out:
+        yield _batch(out, _EDITED)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
