@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelflow.checkpoints import checkpointed
-from parcelflow.ml.metrics import classification_metrics
 
 FOLDS = 15
 MISSING_VALUE = -1.0  # no feature is negative, so trees can split missing values off
@@ -44,29 +43,54 @@ def with_fold(df: DataFrame, date: str, folds: int = FOLDS, name: str = "fold")
     return dated.join(F.broadcast(days), date).withColumn(name, fold).drop("_n", "_end", "_total")
 
 
-class PositiveF1(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
-    """F1 of class 1. A block of dates without a positive row counts 0 instead of ending the search."""
+ROWS_PER_TASK = 50_000
+WEIGHT = "_weight"  # rows of the same features, label and fold are one row with their number as its weight
+
+#: Settings that a search starts from, shallow trees first: of equally good ones the first is kept.
+GRID = tuple({"maxDepth": depth, "stepSize": step} for depth in (2, 3, 4, 5) for step in (0.1, 0.3))
+
+
+@dataclass(frozen=True)
+class Trial:
+    """What a setting scored in a rung of a search, and whether it went on."""
+
+    rung: int
+    rounds: int
+    setting: dict
+    score: float
+    kept: bool
 
-    def on(self, label: str) -> PositiveF1:
-        return self._set(labelCol=label, predictionCol="prediction")
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        actual, predicted = self.getLabelCol(), self.getPredictionCol()
-        return float(classification_metrics(dataset, actual, predicted).first()["f1"])
+@dataclass(frozen=True)
+class Search:
+    model: PipelineModel
+    trials: list[Trial]
 
 
 def _learner(kind: str, label: str, max_iter: int, seed: int):
+    columns = {"labelCol": label, "featuresCol": "features", "weightCol": WEIGHT}
     if kind == "classifier":
-        return GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
+        return GBTClassifier(maxIter=max_iter, seed=seed, **columns)
     if kind == "regressor":
-        return GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed)
+        return GBTRegressor(maxIter=max_iter, seed=seed, **columns)
     raise ValueError(f"kind must be classifier or regressor, not {kind}")
 
 
-def _modelled(df: DataFrame, features: Sequence[str], label: str, more: Sequence[str] = ()) -> DataFrame:
-    """Features and label as a model reads them, kept: boosting reads its rows once per tree level."""
+def modelled(df: DataFrame, features: Sequence[str], label: str, more: Sequence[str] = ()) -> DataFrame:
+    """Features and label as a model reads them, one row for all that agree, with their number.
+
+    Every row counts, and a fit is as large as its different rows. They are kept because boosting reads its rows once
+    per tree level.
+    """
     kept = [*features, F.col(label).cast("double").alias(label), *more]
-    return checkpointed(feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept))
+    known = feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept)
+    rows = checkpointed(known.groupBy(*known.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)))
+    # A fit is a chain of short jobs over these rows: no more tasks than the rows are worth.
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
+def _pipeline(features: Sequence[str], learner) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
 
 
 def fit_once(
@@ -74,11 +98,28 @@ def fit_once(
 ) -> PipelineModel:
     """One model with given settings: no folds and no search."""
     learner = _learner(kind, label, max_iter, seed).setMaxDepth(max_depth)
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
-    return pipeline.fit(_modelled(df, features, label))
+    return _pipeline(features, learner).fit(modelled(df, features, label))
 
 
-def train(
+def _f1(scored: DataFrame, label: str) -> float:
+    """F1 of class 1. A block of dates without a positive row counts 0 instead of ending the search."""
+    actual, predicted = F.col(label) == 1, F.col("prediction") == 1
+    hits = [F.sum(F.when(c, F.col(WEIGHT)).otherwise(0.0)) for c in (actual & predicted, actual | predicted)]
+    tp, union = scored.agg(*hits).first()
+    return 2 * tp / (tp + union) if union else 0.0
+
+
+def _r2(scored: DataFrame, label: str) -> float:
+    return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2", weightCol=WEIGHT).evaluate(scored)
+
+
+def rounds_of(settings: int, max_iter: int) -> list[int]:
+    """Boosting rounds of each rung: the last has half of ``max_iter``, each one before half of that, until one setting is left."""
+    rungs = max(0, settings - 1).bit_length()
+    return [max(1, max_iter >> (rungs - i)) for i in range(rungs)]
+
+
+def search(
     df: DataFrame,
     features: Sequence[str],
     label: str,
@@ -89,35 +130,45 @@ def train(
     max_iter: int = 20,
     seed: int = 42,
     parallelism: int = 8,
-) -> CrossValidatorModel:
-    """Best model of a small parameter grid by cross-validated F1 (``classifier``) or R2 (``regressor``).
+) -> Search:
+    """Best model of a parameter grid by successive halving over cross-validated F1 (``classifier``) or R2 (``regressor``).
 
-    ``grid`` lists settings such as ``{"maxDepth": 5, "stepSize": 0.1}``; its size bounds the search.
+    ``grid`` lists settings such as ``{"maxDepth": 5, "stepSize": 0.1}``. A rung scores every setting that is left over
+    all folds and drops the worse half; the next has twice the boosting rounds. What is left is fitted to all rows with
+    ``max_iter`` rounds. Without a ``fold_column`` the content of a row decides its fold.
     """
     learner = _learner(kind, label, max_iter, seed)
-    if kind == "classifier":
-        scorer = PositiveF1().on(label)
-    else:
-        scorer = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    settings = [
-        {learner.getParam(n): v for n, v in choice.items()} for choice in (grid or [{"maxDepth": 3}, {"maxDepth": 5}])
-    ]
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=settings,
-        evaluator=scorer,
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-        **({"foldCol": fold_column} if fold_column else {}),
-    )
-    return search.fit(_modelled(df, features, label, [fold_column] if fold_column else []))
-
-
-def save_model(model: CrossValidatorModel, path: str) -> None:
+    fold = fold_column or "_fold"
+    placed = df if fold_column else df.withColumn(fold, F.pmod(F.xxhash64(*features, label), F.lit(folds)).cast("int"))
+    rows = modelled(placed, features, label, [fold])
+    held = sorted(r[0] for r in rows.select(fold).distinct().collect())  # as many as there are folds
+    left, trials = list(GRID if grid is None else grid), []
+
+    def score(job: tuple[dict, int, int]) -> float:
+        setting, rounds, out = job
+        tuned = learner.copy({learner.getParam(n): v for n, v in setting.items()} | {learner.maxIter: rounds})
+        model = _pipeline(features, tuned).fit(rows.where(F.col(fold) != out))
+        return (_f1 if kind == "classifier" else _r2)(model.transform(rows.where(F.col(fold) == out)), label)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        for rung, rounds in enumerate(rounds_of(len(left), max_iter) if len(held) > 1 else [], 1):
+            scores = list(pool.map(score, [(setting, rounds, out) for setting in left for out in held]))
+            means = [math.fsum(scores[i * len(held) : (i + 1) * len(held)]) / len(held) for i in range(len(left))]
+            best = sorted(range(len(left)), key=lambda i: (-means[i], i))[: -(-len(left) // 2)]
+            trials += [Trial(rung, rounds, left[i], means[i], i in best) for i in range(len(left))]
+            left = [left[i] for i in sorted(best)]
+    tuned = learner.copy({learner.getParam(n): v for n, v in left[0].items()})
+    return Search(_pipeline(features, tuned).fit(rows), trials)
+
+
+def train(*args, **settings) -> PipelineModel:
+    """The model of a ``search``."""
+    return search(*args, **settings).model
+
+
+def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> CrossValidatorModel:
-    return CrossValidatorModel.load(path)
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

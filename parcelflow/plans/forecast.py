@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ class ForecastConfig:
     interval: float = score.INTERVAL
     folds: int = FOLDS
     max_iter: int = 20
-    grid: list[dict] = field(default_factory=lambda: [{"maxDepth": 3}, {"maxDepth": 5}])
+    grid: list[dict] | None = None  # settings that the search starts from, those of ``train.GRID`` if there are none
 
     @property
     def calendar(self) -> RunCalendar:

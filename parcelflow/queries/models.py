@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from parcelflow.checkpoints import checkpointed
 from parcelflow.ml import score
 from parcelflow.ml.importance import permutation_importance
-from parcelflow.ml.train import fit_once, train, with_fold
+from parcelflow.ml.train import fit_once, search, train, with_fold
 from parcelflow.operators import splits
 from parcelflow.operators.encode import encode, fit_ordinal
 from parcelflow.queries.panels import CALENDAR, KEYS, TENURE, linked_orders
@@ -29,12 +29,12 @@ STEP_SQL = """
 
 
 def _steps(t: Tables) -> DataFrame:
-    """One row for each month, priority and order day: sold from July on, at a price that depends on the half year."""
+    """Every order: sold from July on, at a price that depends on the half year."""
     month = F.month("o_orderdate")
     return t.orders.select(
         "o_orderdate", month.alias("month"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
         (month >= 7).cast("int").alias("sold"), F.when(month >= 7, 250_000.0).otherwise(120_000.0).alias("price"),
-    ).distinct()
+    )
 
 
 def _cells(steps: DataFrame) -> DataFrame:
@@ -68,6 +68,29 @@ def train_regressor(t: Tables) -> DataFrame:
     return priced.select(*STEP_FEATURES, F.col(score.PRICE).alias("price"))
 
 
+@query(
+    "train_search",
+    f"""
+    SELECT month, priority, (month + priority) % 2 AS sold, '8, 4, 2' AS settings, '2, 5, 10' AS rounds, 6 AS depth FROM ({STEP_SQL})
+    """,
+)
+def train_search(t: Tables) -> DataFrame:
+    """Predicted class of each month and priority where neighbours always differ, which shallow trees cannot tell.
+
+    With it come the settings and boosting rounds of each rung of the search, and the depth that won.
+    """
+    steps = _steps(t).withColumn("sold", (F.col("month") + F.col("priority")) % 2)
+    grid = [{"maxDepth": depth, "stepSize": step} for depth in (1, 2, 3, 6) for step in (0.1, 0.3)]
+    found = search(with_fold(steps, "o_orderdate"), STEP_FEATURES, "sold", "classifier", fold_column="fold", grid=grid)
+    rungs = sorted({(trial.rung, trial.rounds) for trial in found.trials})
+    sizes = [sum(trial.rung == rung for trial in found.trials) for rung, _ in rungs]
+    winner = next(trial for trial in found.trials if trial.kept and trial.rung == len(rungs))
+    facts = {"settings": ", ".join(map(str, sizes)), "rounds": ", ".join(str(n) for _, n in rungs), "depth": winner.setting["maxDepth"]}
+    scored = score.score_sales(_cells(steps), found.model, STEP_FEATURES)
+    told = scored.select(*STEP_FEATURES, (F.col(score.SCORE) > 0.5).cast("int").alias("sold"))
+    return told.withColumns({name: F.lit(value) for name, value in facts.items()})
+
+
 @query(
     "cascade_score",
     f"""

@@ -143,6 +143,66 @@ def test_shuffled_copy_is_a_permutation(spark):
     assert sum(a == b for a, b in pairs) < 20
 
 
+def _rows(spark, counts):
+    """Rows of (x, label), each as often as ``counts`` says."""
+    return spark.createDataFrame([(float(x), y) for (x, y), n in counts.items() for _ in range(n)], "x double, y int")
+
+
+def test_rows_that_agree_are_one_with_their_number(spark):
+    df = _rows(spark, {(1, 0): 3, (1, 1): 2, (2, 1): 5}).unionByName(spark.createDataFrame([(None, 1), (None, 1), (4.0, None)], "x double, y int"))
+    found = {tuple(r) for r in train.modelled(df, ["x"], "y").collect()}
+    assert found == {(1.0, 0.0, 3.0), (1.0, 1.0, 2.0), (2.0, 1.0, 5.0), (train.MISSING_VALUE, 1.0, 2.0)}
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_weighted_rows_fit_like_all_rows(spark, kind):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    df = _rows(spark, {(x, y): 1 + (x * 7 + y * 5) % 11 for x in range(12) for y in (0, 1)})
+    weighted = train.fit_once(df, ["x"], "y", kind, max_iter=5, max_depth=2)
+    vectors = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    plain = (GBTClassifier if kind == "classifier" else GBTRegressor)(labelCol="y", featuresCol="features", maxIter=5, maxDepth=2, seed=42).fit(vectors)
+    cells = df.select("x").distinct()
+    one = {r["x"]: r["prediction"] for r in weighted.transform(cells).collect()}
+    two = {r["x"]: r["prediction"] for r in plain.transform(VectorAssembler(inputCols=["x"], outputCol="features").transform(cells)).collect()}
+    assert all(one[x] == pytest.approx(two[x], abs=1e-6) for x in two)
+
+
+def test_more_rows_of_a_cell_change_the_fit(spark):
+    counts = {(1, 0): 12, (1, 1): 10, (2, 1): 20, (3, 0): 20}
+    fits = [train.fit_once(_rows(spark, c), ["x"], "y", "classifier", max_iter=3, max_depth=2) for c in (counts, counts | {(1, 1): 20})]
+    cell = spark.createDataFrame([(1.0,)], "x double")
+    assert [m.transform(cell).first()["prediction"] for m in fits] == [0.0, 1.0]
+
+
+def test_search_drops_the_worse_half(spark):
+    df = spark.range(800).select((F.col("id") % 16).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 5).cast("int").alias("fold"))
+    grid = [{"maxDepth": d, "stepSize": s} for d in (1, 2, 8) for s in (0.1, 0.3)]
+    found = train.search(df, ["x"], "y", "classifier", fold_column="fold", grid=grid, max_iter=8)
+    rungs = {r: [t for t in found.trials if t.rung == r] for r in (1, 2, 3)}
+    assert [(len(ts), {t.rounds for t in ts}) for ts in rungs.values()] == [(6, {1}), (3, {2}), (2, {4})]
+    for rung in (1, 2):
+        kept = [t for t in rungs[rung] if t.kept]
+        assert [t.setting for t in kept] == [t.setting for t in rungs[rung + 1]]
+        assert min(t.score for t in kept) >= max(t.score for t in rungs[rung] if not t.kept)
+    tree = found.model.stages[-1]
+    assert (tree.getMaxDepth(), tree.getNumTrees) == (8, 8)
+
+
+@pytest.mark.parametrize(("settings", "rounds"), [(1, []), (2, [10]), (3, [5, 10]), (8, [2, 5, 10]), (9, [1, 2, 5, 10])])
+def test_rounds_double_from_rung_to_rung(settings, rounds):
+    assert train.rounds_of(settings, 20) == rounds
+
+
+def test_search_scores_missing_classes_as_nothing(spark):
+    scored = spark.createDataFrame([(0.0, 0.0, 3.0)], f"y double, prediction double, {train.WEIGHT} double")
+    assert train._f1(scored, "y") == 0.0 and train._f1(scored.where("false"), "y") == 0.0
+    half = spark.createDataFrame([(1.0, 1.0, 3.0), (1.0, 0.0, 1.0), (0.0, 1.0, 2.0)], f"y double, prediction double, {train.WEIGHT} double")
+    assert train._f1(half, "y") == pytest.approx(2 * 3 / (2 * 3 + 1 + 2))
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError, match="kind"):
         train.train(spark.range(1), ["id"], "id", "cluster")
