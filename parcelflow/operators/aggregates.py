@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from parcelflow.checkpoints import checkpointed
 from parcelflow.operators.positions import values_at
 
 
@@ -29,65 +32,108 @@ def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 QUARTILES = (0.25, 0.5, 0.75)
-ACCURACY = 10_000  # the sketch misplaces a value by at most 1 / ACCURACY of the rows
+SKETCH = 16_384  # size of a quantile sketch, which misplaces a value by about 2 of 10,000 rows, and rarely by more
+MARGINS = (0.001, 0.004, 0.02, 0.2)  # around a quartile, as a share of the rows; a wider one is taken if the last was missed
+SUMMED_AT_ONCE = 1_000_000  # values near the quartiles that one window may hold
 
 
-def _brackets(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> dict[str, list[float]]:
-    """Two values around every wanted quantile, per column: a few numbers from one mergeable sketch.
+def _intervals(sketch: Sequence[float], margin: int, least: float, largest: float) -> list[list[float]]:
+    """Ranges of values around the quartiles, sorted and apart from each other; all values behind the last margin.
 
-    The margin covers the error of the sketch and, in a small table, the neighbouring rows.
+    ``sketch`` has two values around each quartile for each of ``MARGINS``.
     """
-    known = df.agg(*[F.count(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
-    sketch = []
-    for c, rows in known.items():
-        if rows:
-            margin = 2.0 / ACCURACY + 2.0 / rows
-            around = [min(max(p + side, 0.0), 1.0) for p in points for side in (-margin, margin)]
-            sketch.append(F.percentile_approx(F.col(c).cast("double"), around, ACCURACY).alias(c))
-    return df.agg(*sketch).first().asDict() if sketch else {}
-
-
-def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact quartiles. Only the values close to a quartile are shuffled; the rest is counted in place."""
-    brackets = _brackets(df, columns, QUARTILES)
-    if not brackets:
-        return df.sparkSession.createDataFrame([], "column string, q25 double, q50 double, q75 double")
-    cells, below = [], []
-    for c, bounds in brackets.items():
+    if margin == len(MARGINS):
+        return [[least, largest]]
+    low = 2 * margin * len(QUARTILES)
+    out: list[list[float]] = []
+    for start, end in sorted(zip(sketch[low : low + 2 * len(QUARTILES) : 2], sketch[low + 1 : low + 2 * len(QUARTILES) : 2])):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
+def _quartiles(df: DataFrame, intervals: dict[str, list[list[float]]]) -> dict[str, list[float]]:
+    """Exact quartiles in one pass: rows inside of an interval are counted by value, those between them all together.
+
+    A column whose intervals miss one of its quartiles is left out.
+    """
+    cells = []
+    for i, (c, ranges) in enumerate(intervals.items()):
         value = F.col(c).cast("double")
-        for i, (point, low, high) in enumerate(zip(QUARTILES, bounds[::2], bounds[1::2])):
-            name = [F.lit(c).alias("column"), F.lit(i).alias("point")]
-            cells.append(F.struct(*name, F.when(value.between(low, high), value).alias("value")))
-            place = F.lit(point) * (F.count(value) - 1) - F.count_if(value < low)
-            below.append(F.struct(*name, place.alias("place")))
-    near = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
-    histogram = near.groupBy("column", "point", "value").agg(F.count(F.lit(1)).alias("n"))
-    targets = df.agg(F.array(*below).alias("_rows")).select(F.explode("_rows").alias("_row")).select("_row.*")
-    picked = values_at(histogram, ["column", "point"], "value", "n", targets, "place")
-    found = F.coalesce(F.col("value"), F.raise_error(F.lit("a quartile lies outside of its bracket")).cast("double"))
-    by_point = [F.max(F.when(F.col("point") == i, found)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))]
-    return picked.groupBy("column").agg(*by_point)
+        # 0 before the first interval, 1 inside of it, 2 behind it and so on.
+        code = F.when(value.isNull(), F.lit(None))
+        for j in range(len(ranges), 0, -1):
+            code = code.when(value > ranges[j - 1][1], 2 * j).when(value >= ranges[j - 1][0], 2 * j - 1)
+        cells.append(F.struct(F.lit(i).alias("of"), code.otherwise(0).alias("code"), value.alias("value")))
+    cell = df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.of", "_cell.code", F.expr("if(_cell.code % 2 = 1, _cell.value, null)").alias("value"))
+    names = F.array(*[F.lit(c) for c in intervals])
+    cell = cell.where("code is not null")
+    counted = cell.groupBy("of", "code", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = checkpointed(counted.select(F.element_at(names, F.col("of") + 1).alias("column"), "code", "value", "n"))
+    sums = {(r["column"], r["code"]): r for r in counted.groupBy("column", "code").agg(F.sum("n").alias("rows"), F.count("*").alias("values")).collect()}
+    targets, near = [], 0
+    for c in intervals:
+        codes = sorted(code for column, code in sums if column == c)
+        rows = sum(sums[c, code]["rows"] for code in codes)
+        found = []
+        for i, point in enumerate(QUARTILES):
+            before, place = 0, point * (rows - 1)
+            for code in codes:
+                if place < before + sums[c, code]["rows"]:
+                    break
+                before += sums[c, code]["rows"]
+            if code % 2 and math.ceil(place) < before + sums[c, code]["rows"]:
+                found.append((c, i, code, place - before))
+        if len(found) == len(QUARTILES):
+            targets += found
+            near += sum(sums[c, code]["values"] for _, _, code, _ in found)
+    if not targets:
+        return {}
+    wanted = df.sparkSession.createDataFrame(targets, "column string, point int, code int, place double")
+    values = counted.join(F.broadcast(wanted), ["column", "code"]).select("column", "point", "value", "n", "place")
+    if near <= SUMMED_AT_ONCE:
+        end = F.sum("n").over(W.partitionBy("column", "point").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
+        at = lambda rank: F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("n")), F.col("value")))
+        low, high = at(F.floor("place")), at(F.ceil("place"))
+        part = F.max(F.col("place") - F.floor("place"))
+        found = values.withColumn("end", end).groupBy("column", "point").agg((low + (high - low) * part).alias("value"))
+    else:
+        found = values_at(values.drop("place"), ["column", "point"], "value", "n", wanted.drop("code"), "place")
+    out = {c: [None] * len(QUARTILES) for c, *_ in targets}
+    for r in found.collect():  # three rows a column
+        out[r["column"]][r["point"]] = r["value"]
+    return out
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles, one row per column."""
-    moments: list[Column] = []
+    """Count, mean, deviation, extremes and exact quartiles, one row per column.
+
+    Two passes over ``df``: one for counts, moments and a mergeable sketch, and one that counts the values which the
+    sketch finds close to a quartile. Should the sketch be further off than expected, the second pass is done again
+    with wider margins.
+    """
+    around = F.array(*[F.lit(min(max(p + side * m, 0.0), 1.0)) for m in MARGINS for p in QUARTILES for side in (-1, 1)])
+    summaries: list[Column] = []
     for c in columns:
         value = F.col(c).cast("double")
-        moments.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(value).alias("count"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.min(value).alias("min"),
-                F.max(value).alias("max"),
-            )
-        )
-    summary = df.agg(F.array(*moments).alias("_rows")).select(F.explode("_rows").alias("_row")).select("_row.*")
-    return summary.join(_quartiles(df, columns), "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+        moments = [F.count(value), F.avg(value), F.stddev_samp(value), F.min(value), F.max(value)]
+        named = [m.alias(n) for m, n in zip(moments, ("count", "mean", "std", "min", "max"))]
+        summaries.append(F.struct(*named, F.kll_sketch_agg_double(value, SKETCH).alias("sketch")).alias(c))
+    shown = [c for i, name in enumerate(columns) for c in (F.col(f"`{name}`").dropFields("sketch").alias(name), F.when(F.col(f"`{name}`.count") > 0, F.kll_sketch_get_quantile_double(F.col(f"`{name}`.sketch"), around)).alias(f"_around_{i}"))]
+    found = df.agg(*summaries).select(*shown).first()
+    margins = {c: next((i for i, m in enumerate(MARGINS) if m >= 2.0 / found[c]["count"]), len(MARGINS)) for c in columns if found[c]["count"]}
+    quartiles: dict[str, list[float]] = {}
+    while open_ := [c for c in margins if c not in quartiles]:
+        around_ = {c: found[f"_around_{columns.index(c)}"] for c in open_}
+        quartiles |= _quartiles(df, {c: _intervals(around_[c], margins[c], found[c]["min"], found[c]["max"]) for c in open_})
+        margins = {c: min(m + 1, len(MARGINS)) for c, m in margins.items()}
+    rows = [
+        (c, *(found[c][n] for n in ("count", "mean", "std", "min")), *quartiles.get(c, (None,) * len(QUARTILES)), found[c]["max"]) for c in columns
+    ]
+    numbers = ", ".join(f"{n} double" for n in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count long, {numbers}")
 
 
 def profile_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:

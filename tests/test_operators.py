@@ -202,6 +202,33 @@ def test_positions_and_quantiles(spark):
     assert (profile["q25"], profile["q50"], profile["q75"]) == tuple(exact)
 
 
+@pytest.mark.parametrize("at_once", [aggregates.SUMMED_AT_ONCE, 0])
+def test_quartiles_of_many_values(spark, monkeypatch, at_once):
+    monkeypatch.setattr(aggregates, "SUMMED_AT_ONCE", at_once)
+    table = spark.range(40_000).select(
+        ((F.col("id") * 7919) % 40_009 * 0.25).alias("even"), F.when(F.col("id") % 3 > 0, F.pow(F.col("id"), 2)).alias("gaps"),
+        F.when(F.col("id") < 15_000, 7.0).otherwise(F.col("id") % 11 - 5).alias("ties"), F.lit(1).alias("one"), F.lit(None).cast("int").alias("none"),
+    )
+    columns = ["even", "gaps", "ties", "one", "none"]
+    found = {r["column"]: r for r in aggregates.profile_numeric(table, columns).collect()}
+    for c in columns:
+        exact = table.selectExpr(f"count({c})", f"percentile({c}, 0.25)", f"percentile({c}, 0.5)", f"percentile({c}, 0.75)", f"min({c})", f"max({c})").first()
+        assert tuple(found[c][n] for n in ("count", "q25", "q50", "q75", "min", "max")) == pytest.approx(tuple(exact))
+
+
+def test_profile_reads_its_rows_twice(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+    table = spark.range(1000, numPartitions=4).select("id")
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    aggregates.profile_numeric(table.mapInArrow(counted, "id long"), ["id"]).collect()
+    assert reads.value == 2000
+
+
 def test_profile_of_missing_and_text(spark):
     df = spark.createDataFrame([("x", None), ("y", None), ("x", None), (None, None)], "t string, n double")
     top = aggregates.profile_text(df, ["t"]).first()
