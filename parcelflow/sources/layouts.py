@@ -34,6 +34,10 @@ def layout(text: str, types: Mapping[str, str] | None = None, widths: Mapping[st
     return fields
 
 
+#: Of the county files. A character is a byte.
+ENCODING = "ISO-8859-1"
+
+
 def total_width(fields: list[Field]) -> int:
     return sum(f.width for f in fields)
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 import pytest
 from conftest import plan_of
 from landing import Parcel, fixed_line, sample_parcels, write_cama, write_landing, write_transfers
+from pyspark.sql import functions as F
 
 from parcelflow import stages
+from parcelflow.queries import formats
 from parcelflow.sources import counties, delimited, fixed_width, layouts, tables
 
 D = dt.date
@@ -80,7 +83,32 @@ def test_unused_fields_are_not_cut(spark, tmp_path):
     (tmp_path / "SALES.DAT").write_text(fixed_line(layouts.SALES, Parid="1", Price=3) + "\n")
     sales = fixed_width.read_fixed_width(spark, str(tmp_path / "SALES.DAT"), layouts.SALES)
     plan = plan_of(sales.select("Parid", "Price")).split("Physical Plan")[1]
-    assert plan.count("AS ") == 2
+    assert plan.count("decode(substring(") == 2 and "Own1" not in plan
+
+
+def test_lines_of_any_script(spark):
+    layout = layouts.layout("a 2 b 3 c 4 d 2", types={"c": "double"})
+    lines = ["ab漢字😀 1.5zz", "é", "", "éü ñ 7   ﻿x", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, line string").repartition(2)
+    cut = {tuple(r) for r in fixed_width.cut_fields(df, "line", layout).collect()}
+    assert cut == {("ab", "漢字😀", 1.5, "zz"), ("é", None, None, None), (None,) * 4, ("éü", "ñ", 7.0, "x")}
+    latin = fixed_width.cut_fields(df.where("i in (1, 2, 4)"), "line", layout, ["a"], encoding="ISO-8859-1")
+    assert latin.columns == ["a"] and {r["a"] for r in latin.collect()} == {"é", None}
+
+
+@pytest.mark.parametrize("name", list(formats.LAYOUTS))
+def test_layouts_agree_with_the_published_positions(name):
+    fields, positions = formats.LAYOUTS[name]
+    stated = [(n, int(start), int(width)) for n, start, width in (p.split() for p in positions.split(","))]
+    assert [(f.name, f.start, f.width) for f in fields] == stated
+    assert sum(f.width for f in fields) == layouts.total_width(fields) <= 32 * formats.BLOCKS
+
+
+def test_a_wrong_width_turns_a_layout_query_red(spark):
+    fields = [dataclasses.replace(f, width=f.width + 1) if f.name == "Aprbldg" else f for f in layouts.ASSESSMENT]
+    cut = fixed_width.cut_fields(spark.range(3).select(F.col("id").alias("c_custkey")).select(formats._digits().alias("line")), "line", fields)
+    right = fixed_width.cut_fields(spark.range(3).select(F.col("id").alias("c_custkey")).select(formats._digits().alias("line")), "line", layouts.ASSESSMENT)
+    assert cut.exceptAll(right).count() == 3
 
 
 def test_transfer_county(spark, tmp_path):
