@@ -6,10 +6,10 @@ shingles has sketches of their first occurrences as well. Texts that share a ske
 alignment of their shingles verifies them: the longest run of shared shingles in the same order, no further apart than
 an alignment of the wanted similarity allows, over all shingles of either.
 
-Texts with the same words are compared once. Inside of a bucket nobody is paired with everybody: a leader is compared
-with the other members, what it resembles joins its class, and the rest is looked at again in the next round with other
-leaders, until all members that have not led are in one class. Labels of classes travel along the links until nothing
-changes.
+Texts with the same words are compared once. In each bucket a leader is compared with the other members, and what it
+resembles joins its class. Members that are then in different classes meet in groups that hold a bucket's texts, or blocks
+of them: how many shingles a text shares with each of the others is counted for all of them at once, and what shares
+enough is aligned. Pairs never become rows, only links do. Labels of classes travel along the links until nothing changes.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ SIMILARITY = 0.8
 #: replacement: of u shingles, i of them aligned, a sketch agrees with i over KEPT out of u over KEPT. At 4 of 5, the
 #: worst case at 0.8, that is 0.4, and 3 of 10,000 pairs share none of the sketches.
 SKETCHES, KEPT = 16, 3
-#: Leaders that a bucket may have in a round.
-MOST_LEADERS = 512
+#: Shingles of the members of a bucket that one group holds; buckets with more are met in blocks of this size.
+BLOCK = 300_000
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 
 
@@ -188,55 +188,130 @@ def _near_in(one: str, other: str) -> Column:
     return F.least(one, other) >= F.lit(SIMILARITY) * F.greatest(one, other) - 1e-6
 
 
+def _need(size, others):
+    """Shared shingles that texts of so many shingles must have at least to be alike."""
+    return SIMILARITY / (1 + SIMILARITY) * (size + others) - 1e-9
+
+
+def _links_of(key: int, rows: dict, which: np.ndarray, ids: np.ndarray, first: np.ndarray, new: np.ndarray, mark: np.ndarray):
+    """Pairs of nodes of one bucket (rows ``which``) that are alike and not connected yet.
+
+    Rows that ask are met by all that answer at once: one look-up over the shingles of all of them says how many each
+    shares with the one that asks, and only those that share enough are aligned. A pair is left to the smallest bucket that
+    both are in.
+    """
+    answers = which[rows["answers"][which]]
+    parts = [slice(first[r], first[r + 1]) for r in answers]
+    cat, cat_new = np.concatenate([ids[p] for p in parts]), np.concatenate([new[p] for p in parts])
+    sizes = np.array([p.stop - p.start for p in parts])
+    starts = np.cumsum(sizes) - sizes
+    news = np.add.reduceat(cat_new, starts, dtype=np.int64)
+    plain = bool(cat_new.all())
+    nodes, labels, outside = rows["node"], rows["label"], rows["outside"]
+    parent: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while (up := parent.get(label, label)) != label:
+            label = up
+        return label
+
+    smaller = {}
+
+    def earlier(r: int) -> frozenset:
+        if r not in smaller:
+            smaller[r] = frozenset(k for k in rows["sketch"][r] if k < key)
+        return smaller[r]
+
+    for i in which[rows["asks"][which]]:
+        own = slice(first[i], first[i + 1])
+        mark[ids[own]] = True
+        enough = np.add.reduceat(mark[cat], starts, dtype=np.int64) >= _need(own.stop - own.start, sizes)
+        mark[ids[own]] = False
+        if not (plain and new[own].all()):
+            mine = ids[own][new[own]]
+            mark[mine] = True
+            enough |= np.add.reduceat(mark[cat] & cat_new, starts, dtype=np.int64) >= _need(len(mine), news)
+            mark[mine] = False
+        for j in answers[enough]:
+            if nodes[i] == nodes[j] or (outside[j] and nodes[i] > nodes[j]):
+                continue
+            left, right = find(labels[i]), find(labels[j])
+            if left == right or not earlier(i).isdisjoint(earlier(j)):
+                continue
+            theirs = slice(first[j], first[j + 1])
+            if alike(ids[own], ids[theirs], new[own], new[theirs]):
+                parent[left] = right
+                yield int(nodes[i]), int(nodes[j])
+
+
+def _met(group: pa.Table) -> pa.Table:
+    """Links inside of the buckets of a group."""
+    words = Words(group["text"].combine_chunks().cast(pa.large_string()).fill_null(""), SPACED)
+    labelled, first, new = shingles(words)
+    known, ids = np.unique(labelled, return_inverse=True)
+    mark = np.zeros(len(known), bool)
+    rows = {c: group[c].to_numpy() for c in ("key", "node", "label", "asks", "answers", "outside")} | {"sketch": group["sketch"].to_pylist()}
+    links = []
+    order = np.argsort(rows["key"], kind="stable")
+    for which in np.split(order, np.flatnonzero(np.diff(rows["key"][order])) + 1):
+        if rows["asks"][which].any() and rows["answers"][which].any():
+            links += _links_of(int(rows["key"][which[0]]), rows, which, ids, first, new, mark)
+    return pa.table({"leader": pa.array([a for a, _ in links], pa.int64()), "node": pa.array([b for _, b in links], pa.int64())})
+
+
+def _led(members: DataFrame, leaders: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the leader of each bucket and its other members."""
+    met = members.join(leaders, "key").where("node != leader").where(_near_in("size", "leader_size") | _near_in("news", "leader_news"))
+    pairs = written(met.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct())
+    left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
+    right = texts.select("node", F.col("text").alias("right_text"))
+    return written(mapped(pairs.join(left, "leader").join(right, "node"), _verify, "leader long, node long"))
+
+
+def _rest(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of open buckets that are in different classes. ``open_``: key, node, label, size, main.
+
+    Members of a bucket's largest class do not meet each other: those outside of it ask, and all answer. Small buckets
+    share a group; a large one is met in blocks, each block of those who ask with each block of those who answer.
+    """
+    rows = open_.withColumn("outside", F.col("label") != F.col("main"))
+    sums = written(rows.groupBy("key").agg(F.sum("size").alias("shingles"), F.sum(F.when(F.col("outside"), F.col("size")).otherwise(0)).alias("asked")))
+    groups = max(1, -(-(sums.where(F.col("shingles") <= BLOCK).agg(F.sum("shingles")).first()[0] or 0) // BLOCK))
+    rows = rows.join(sums, "key").join(texts, "node").select(
+        "key", "node", "label", "outside", "sketch", "text", (F.col("shingles") > BLOCK).alias("large"),
+        F.ceil(F.col("shingles") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("asked") / BLOCK).cast("int").alias("ask_blocks"),
+    )
+    own = ["key", "node", "label", "outside", "sketch", "text", "large"]
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    few, many = rows.where("not large"), rows.where("large")
+    together = few.select(*own, F.pmod(F.xxhash64("key"), F.lit(groups)).alias("of"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.col("outside").alias("asks"), F.lit(True).alias("answers"))
+    asking = many.where("outside").select(*own, F.col("key").alias("of"), block("ask_blocks").alias("a"), every("blocks").alias("b"), F.lit(True).alias("asks"), F.lit(False).alias("answers"))
+    answering = many.select(*own, F.col("key").alias("of"), every("ask_blocks").alias("a"), block("blocks").alias("b"), F.lit(False).alias("asks"), F.lit(True).alias("answers"))
+    dealt = together.unionByName(asking).unionByName(answering)
+    return written(dealt.groupBy("large", "of", "a", "b").applyInArrow(_met, "leader long, node long"))
+
+
 def _labels(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, label) of what verified links inside of buckets connect. ``members``: key, node, weight, size, news.
 
-    A leader meets all members of its bucket that are not in its class, and then leaves the bucket, because it has
-    nobody left to meet there. Rounds go on until no bucket holds more than one class of members that have not led, so
-    every pair of a bucket is compared unless links already connect it. The largest class of a bucket never leads, as
-    the others come to it. Each round takes twice the leaders of the last, so a bucket of n classes needs about log n
-    rounds.
+    A leader meets all members of its bucket, which joins what is nearly equal, and leaves the bucket. What is then not in
+    one class is met in groups that hold the texts of whole buckets, so every pair of a bucket is compared unless links
+    already connect it or the shingles they share are too few.
     """
-    spark, links, tested, labels, leaders = members.sparkSession, None, None, None, 1
-    kept = [F.col("key"), F.col("node"), F.col("weight"), F.col("size"), F.col("news")]
-    while True:
-        labelled = members.withColumn("label", F.col("node"))
-        if labels is not None:
-            found = labels.select(F.col("node").alias("of"), F.col("label").alias("found"))
-            labelled = written(
-                members.join(found, F.col("node") == F.col("of"), "left").select(*kept, F.coalesce("found", "node").alias("label"))
-            )
-        # The class that never leads: the one with most members, of equal ones the one that shares least with others.
-        each = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.max("weight").alias("heaviest"))
-        largest = F.max(F.struct("n", (-F.col("heaviest")).alias("less"), "label")).alias("largest")
-        main = written(
-            each.groupBy("key").agg(F.count("*").alias("n_classes"), largest).where("n_classes > 1")
-            .select("key", F.col("largest.label").alias("main"))
-        )
-        # Buckets whose members share one label are done, each on its own; the others go on to the next round.
-        if main.isEmpty():
-            break
-        open_ = labelled.join(main, "key")
-        place = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "node"))
-        bucket = written(
-            open_.where("label != main").withColumn("place", place).where(F.col("place") <= leaders)
-            .select("key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("size").alias("leader_size"), F.col("news").alias("leader_news"))
-        )
-        met = open_.join(bucket, "key").where("label != leader_label").where(_near_in("size", "leader_size") | _near_in("news", "leader_news"))
-        pairs = met.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["leader", "node"], "left_anti")
-        pairs = written(pairs)
-        tested = pairs if tested is None else tested.union(pairs)
-        left = texts.select(F.col("node").alias("leader"), F.col("text").alias("left_text"))
-        right = texts.select("node", F.col("text").alias("right_text"))
-        more = written(mapped(pairs.join(left, "leader").join(right, "node"), _verify, "leader long, node long"))
-        if not more.isEmpty():
-            links = more if links is None else links.union(more)
-            labels = components(links, "leader", "node")
-        led = bucket.select("key", F.col("leader").alias("node"))
-        members, leaders = open_.join(led, ["key", "node"], "left_anti").select(*kept), min(2 * leaders, MOST_LEADERS)
-    return labels if labels is not None else spark.createDataFrame([], "node long, label long")
+    heaviest = F.max(F.struct("weight", (-F.col("node")).alias("less"), "node", "size", "news")).alias("l")
+    leaders = members.groupBy("key").agg(heaviest).select("key", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), F.col("l.news").alias("leader_news"))
+    leaders = written(leaders)
+    links = _led(members, leaders, texts)
+    labels = components(links, "leader", "node").select(F.col("node").alias("of"), F.col("label").alias("found"))
+    left = members.join(leaders.select("key", "leader"), "key").where("node != leader")
+    labelled = left.join(labels, F.col("node") == F.col("of"), "left").select("key", "node", "size", F.coalesce("found", "node").alias("label"))
+    labelled = written(labelled)
+    # Of equally large classes the one with the smallest label; buckets of one class are done.
+    each = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = each.groupBy("key").agg(F.count("*").alias("n_classes"), F.max(F.struct("n", (-F.col("label")).alias("less"), "label")).alias("l"))
+    open_ = written(labelled.join(main.where("n_classes > 1").select("key", F.col("l.label").alias("main")), "key"))
+    return components(links.union(_rest(open_, texts)), "leader", "node")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -264,7 +339,7 @@ def classes(docs: DataFrame) -> DataFrame:
     sizes = sketch.select("node", "size", "news")
     members = written(entries.join(weights, "node").join(sizes, "node").select("key", "node", "weight", "size", "news"))
     met = sketch.join(weights.select("node"), "node")
-    texts = source.join(met.select("node", "id", "key"), ["id", "key"]).select("node", "text")
+    texts = source.join(met.select("node", "id", "key", "sketch"), ["id", "key"]).select("node", "text", "sketch")
     labels = _labels(members, written(texts))
     joined = nodes.join(labels, "node", "left").select("digest", "node", "first_id", F.coalesce("label", "node").alias("label"))
     joined = written(joined)

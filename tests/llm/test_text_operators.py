@@ -146,10 +146,12 @@ def test_near_copies_of_a_hot_group(spark):
 
 def _linked(spark, members, texts):
     """Label of each node after all rounds. ``members``: nodes of each bucket, the smallest ones the heaviest."""
+    buckets = members
     size = {n: max(1, len(t.split()) - 4) for n, t in texts.items()}
     rows = [(key, n, 1_000 - n, size[n], size[n]) for key, nodes in members.items() for n in nodes]
     members = spark.createDataFrame(rows, "key long, node long, weight long, size long, news long")
-    found = near._labels(members, spark.createDataFrame(list(texts.items()), "node long, text string"))
+    told = [(n, t, [key for key, nodes in buckets.items() if n in nodes]) for n, t in texts.items()]
+    found = near._labels(members, spark.createDataFrame(told, "node long, text string, sketch array<long>"))
     return {n: n for n in texts} | {r["node"]: r["label"] for r in found.collect()}
 
 
@@ -171,6 +173,42 @@ def test_near_buckets_end_on_their_own(spark):
     assert _linked(spark, {70: list(texts)}, texts) == want
 
 
+@pytest.mark.parametrize("block", [near.BLOCK, 500])
+def test_near_hot_buckets_against_all_pairs(spark, monkeypatch, block):
+    """Half-similar families, near copies among them, and unlike texts with one long line in common, also in small blocks."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    dice = random.Random(11)
+    base, line = [f"h{i}" for i in range(150)], [f"l{i}" for i in range(40)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in dice.sample(range(150), dice.choice([0, 1, 2, 3, 4, 6, 8])):
+            own[at] = f"e{i}_{at}"
+        rows.append((i, " ".join(own)))
+    rows += [(200 + i, " ".join([*line, *(f"u{i}_{k}" for k in range(60))])) for i in range(120)]
+    rows += [(400 + i, " ".join(["same"] * 30 + [*line, *(f"x{k}" for k in range(60 - i))])) for i in range(8)]
+    found = near.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = dict(zip([d for d, _ in rows], brute.near_classes(rows), strict=True))
+    got = {r["id"]: r["class_id"] for r in found}
+    # No two of a class are in another; of those that belong together at most a few go unseen by all sketches.
+    assert all(want[r["id"]] == want[r["class_id"]] for r in found)
+    assert sum(got[d] == want[d] for d in want) >= len(want) - 2
+
+
+def test_near_pairs_aligned_grow_with_the_texts(spark):
+    """Texts that share a line: the leader's pairs grow as the texts do, and no other pair becomes a row."""
+    line = [f"l{i}" for i in range(40)]
+    counts = []
+    for n in (200, 400):
+        texts = {i: " ".join([*line, *(f"u{i}_{k}" for k in range(60))]) for i in range(n)}
+        members = spark.createDataFrame([(7, i, n - i, 96, 96) for i in texts], "key long, node long, weight long, size long, news long")
+        leaders = spark.createDataFrame([(7, 0, 96, 96)], "key long, leader long, leader_size long, leader_news long")
+        counts.append(members.join(leaders, "key").where("node != leader").count())
+        told = spark.createDataFrame([(i, t, [7]) for i, t in texts.items()], "node long, text string, sketch array<long>")
+        assert near._labels(members, told).count() == 0
+    assert counts == [199, 399]
+
+
 def test_near_copies_of_few_words(spark):
     """Four of five shingles are alike: 0.8 exactly."""
     rows = [(2 * i + more, " ".join(f"w{i}_{k}" for k in range(8 + more))) for i in range(400) for more in (0, 1)]
