@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,10 +13,11 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from parcelflow import stages
 from parcelflow.checkpoints import checkpointed
 
 FOLDS = 15
@@ -166,9 +168,34 @@ def train(*args, **settings) -> PipelineModel:
     return search(*args, **settings).model
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def dictionary_digest(dictionary: DataFrame) -> str:
+    """A digest of a dictionary's rows, whatever their order."""
+    row = F.xxhash64(*sorted(dictionary.columns))
+    number, sums, bits = dictionary.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()
+    return f"{number}:{sums or 0}:{bits or 0}"
+
 
+def _card(path: str) -> str:
+    return f"{path}/features.json"
 
-def load_model(path: str) -> PipelineModel:
+
+def save_model(model: PipelineModel, path: str, features: Sequence[str] | None = None, dictionary: DataFrame | None = None) -> None:
+    """The model, and with it what it was trained on: its features in order and the dictionary that coded them."""
+    model.write().overwrite().save(path)
+    if features is not None:
+        digest = None if dictionary is None else dictionary_digest(dictionary)
+        spark = SparkSession.active()
+        stages.write_text(spark, _card(path), json.dumps({"features": list(features), "dictionary": digest}), overwrite=True)
+
+
+def load_model(path: str, features: Sequence[str] | None = None, dictionary: DataFrame | None = None) -> PipelineModel:
+    """A saved model. Given ``features`` or a ``dictionary``, it is refused if it was saved with others or with none."""
+    if features is not None or dictionary is not None:
+        spark = SparkSession.active()
+        card, files = stages.file_system(spark, _card(path))
+        saved = json.loads(stages.read_text(spark, _card(path))) if files.exists(card) else {"features": None, "dictionary": None}
+        if features is not None and saved["features"] != list(features):
+            raise ValueError(f"the model of {path} was trained on {saved['features']}, not on {list(features)}")
+        if dictionary is not None and saved["dictionary"] != dictionary_digest(dictionary):
+            raise ValueError(f"the model of {path} was trained with another dictionary")
     return PipelineModel.load(path)

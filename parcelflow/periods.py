@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from parcelflow.checkpoints import checkpointed
 from parcelflow.operators.upsert import upsert
-from parcelflow.stages import file_system
+from parcelflow.stages import file_system, read_text, write_text
 
 NO_PERIOD = "none"
 _FOLDER = "in_period"
@@ -77,12 +77,7 @@ class PeriodTable:
         if not numbers:
             return None
         version = numbers[-1] if version is None else version
-        path, files = file_system(spark, f"{self.root}/manifests/{version:09d}.json")
-        stream = files.open(path)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+        text = read_text(spark, f"{self.root}/manifests/{version:09d}.json")
         return Manifest(version, {name: Period(**entry) for name, entry in json.loads(text).items()})
 
     def read(
@@ -132,11 +127,7 @@ class PeriodTable:
     def _commit(self, spark: SparkSession, manifest: Manifest) -> None:
         final, files = file_system(spark, f"{self.root}/manifests/{manifest.version:09d}.json")
         draft, _ = file_system(spark, f"{self.root}/manifests/draft-{uuid.uuid4().hex}")
-        stream = files.create(draft, False)
-        try:
-            stream.write(bytearray(json.dumps({n: asdict(p) for n, p in sorted(manifest.periods.items())}, indent=1).encode()))
-        finally:
-            stream.close()
+        write_text(spark, draft.toString(), json.dumps({n: asdict(p) for n, p in sorted(manifest.periods.items())}, indent=1))
         if files.exists(final) or not files.rename(draft, final):
             files.delete(draft, False)
             raise RuntimeError(f"version {manifest.version} of {self.root} was written by somebody else meanwhile")

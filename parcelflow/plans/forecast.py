@@ -125,7 +125,7 @@ def train_models(splits: Splits, dictionary: DataFrame, config: ForecastConfig)
         model = train(
             folded, columns, label, kind, config.folds, "fold", config.grid, config.max_iter
         )
-        save_model(model, config.model_path(label))
+        save_model(model, config.model_path(label), columns, dictionary)
         return model
 
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -210,7 +210,8 @@ def run(spark: SparkSession, config: ForecastConfig) -> DataFrame:
         train=stages.stage(spark, config.prepared("train"), lambda: fresh.train),
     )
     train_models(splits, dictionary, config)
-    models = {label: load_model(config.model_path(label)) for label in (LABEL, PRICE_LABEL)}
+    columns = {LABEL: coded(SALE_FEATURES), PRICE_LABEL: coded(PRICE_FEATURES)}
+    models = {label: load_model(config.model_path(label), columns[label], dictionary) for label in columns}
     for name, table in evaluate(splits, dictionary, models, config).items():
         log.info("%s: %s", name, [r.asDict() for r in table.collect()])
     scored = checkpointed(scored_parcels(raw, dictionary, models[LABEL], config))

@@ -7,4 +7,4 @@ from parcelflow.queries.registry import ORACLES, QUERIES
 __all__ = ["ORACLES", "QUERIES"]
 
 # Importing a module registers its queries.
-from parcelflow.queries import cleaning, evaluation, files, formats, histories, keys, models, panels, periods  # noqa: E402,F401
+from parcelflow.queries import cleaning, evaluation, files, formats, histories, keys, landed, models, panels, periods  # noqa: E402,F401

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parcelflow.checkpoints import checkpointed
+from parcelflow.checkpoints import checkpointed, scratch_folder
 from parcelflow.ml import score
 from parcelflow.ml.importance import permutation_importance
-from parcelflow.ml.train import fit_once, search, train, with_fold
+from parcelflow.ml.train import fit_once, load_model, save_model, search, train, with_fold
 from parcelflow.operators import splits
 from parcelflow.operators.encode import encode, fit_ordinal
+from parcelflow.plans import etl, forecast
+from parcelflow.plans.etl import CATEGORIES
 from parcelflow.queries.panels import CALENDAR, KEYS, TENURE, linked_orders
 from parcelflow.queries.registry import Tables, query
 
@@ -118,6 +120,119 @@ def perm_importance(t: Tables) -> DataFrame:
     return ranked.select(F.row_number().over(order).alias("rank"), "feature", (F.col("importance") > 0.1).alias("counts"))
 
 
+@query(
+    "saved_model_scores",
+    """
+    SELECT DISTINCT month(o_orderdate) AS month, o_orderpriority AS priority, CASE WHEN o_orderpriority >= '3' THEN 1 ELSE 0 END AS sold,
+           'features, dictionary' AS refused
+    FROM orders
+    """,
+)
+def saved_model_scores(t: Tables) -> DataFrame:
+    """Classes by a model that was saved and loaded again with its dictionary; other features and other codes are refused."""
+    orders = t.orders.select(F.month("o_orderdate").alias("month"), F.col("o_orderpriority").alias("priority"))
+    dictionary = checkpointed(fit_ordinal(orders, ["priority"]))
+    coded = encode(orders.withColumn("sold", (F.col("priority") >= "3").cast("int")), dictionary, ["priority"], suffix="_code")
+    features, path = ["month", "priority_code"], scratch_folder(t.spark, "model")
+    save_model(fit_once(coded, features, "sold", "classifier"), path, features, dictionary)
+    refused = []
+    for what, names, codes in (("features", features[::-1], dictionary), ("dictionary", features, dictionary.where("code > 0"))):
+        try:
+            load_model(path, names, codes)
+        except ValueError:
+            refused.append(what)
+    scored = score.score_sales(coded.select("month", "priority", "priority_code").distinct(), load_model(path, features, dictionary), features)
+    return scored.select("month", "priority", (F.col(score.SCORE) > 0.5).cast("int").alias("sold"), F.lit(", ".join(refused)).alias("refused"))
+
+
+_EVALUATION_SQL = """
+WITH cells AS (
+    SELECT DISTINCT year(o_orderdate) >= 2000 AS late, month(o_orderdate) AS month, CAST(left(o_orderpriority, 1) AS INTEGER) AS digit FROM orders),
+rows AS (
+    SELECT 'train' AS part, month, digit, month >= 7 AS actual, CASE WHEN month >= 7 THEN 250000.0 ELSE 120000.0 END AS price FROM cells WHERE NOT late
+    UNION ALL
+    SELECT 'test', month, digit, month >= 7 OR digit = 1, CASE WHEN month >= 7 THEN 250000.0 ELSE 120000.0 END + 10000 * digit FROM cells WHERE late),
+c AS (
+    SELECT part, CAST(count_if(NOT actual AND month < 7) AS DOUBLE) AS tn, CAST(count_if(NOT actual AND month >= 7) AS DOUBLE) AS fp,
+           CAST(count_if(actual AND month < 7) AS DOUBLE) AS fn, CAST(count_if(actual AND month >= 7) AS DOUBLE) AS tp
+    FROM rows GROUP BY part),
+m AS (
+    SELECT *, tn + fp + fn + tp AS total, coalesce(tp / nullif(tp + fp, 0), 0) AS precision1, coalesce(tp / nullif(tp + fn, 0), 0) AS recall1,
+           coalesce(tn / nullif(tn + fn, 0), 0) AS precision0, coalesce(tn / nullif(tn + fp, 0), 0) AS recall0,
+           2 * tp / (2 * tp + fp + fn) AS f1, 2 * tn / (2 * tn + fp + fn) AS f0 FROM c),
+a AS (SELECT *, recall1 * precision1 + (1 - recall1) * (tp + fn) / total AS ap, (recall1 + recall0) / 2 AS roc FROM m),
+r AS (
+    SELECT part, count(*) AS n, avg(abs(price - guess)) AS mae, avg(abs(price - guess) / price) AS mape,
+           1 - avg((price - guess) * (price - guess)) / nullif(var_pop(price), 0) AS r2
+    FROM (SELECT part, price, CASE WHEN month >= 7 THEN 250000.0 ELSE 120000.0 END AS guess FROM rows WHERE actual) GROUP BY part),
+told AS (
+    SELECT part, 'balance' AS name, 'total' AS metric, total AS value FROM a UNION ALL SELECT part, 'balance', 'positive', tp + fn FROM a
+    UNION ALL SELECT part, 'balance', 'percent', 100 * (tp + fn) / total FROM a
+    UNION ALL SELECT part, 'classification', 'tn', tn FROM a UNION ALL SELECT part, 'classification', 'fp', fp FROM a
+    UNION ALL SELECT part, 'classification', 'fn', fn FROM a UNION ALL SELECT part, 'classification', 'tp', tp FROM a
+    UNION ALL SELECT part, 'classification', 'precision', precision1 FROM a UNION ALL SELECT part, 'classification', 'recall', recall1 FROM a
+    UNION ALL SELECT part, 'classification', 'f1', f1 FROM a UNION ALL SELECT part, 'classification', 'average_precision_hard', ap FROM a
+    UNION ALL SELECT part, 'classification', 'roc_auc_hard', roc FROM a
+    UNION ALL SELECT part, 'report 0', 'precision', precision0 FROM a UNION ALL SELECT part, 'report 0', 'recall', recall0 FROM a
+    UNION ALL SELECT part, 'report 0', 'f1', f0 FROM a UNION ALL SELECT part, 'report 0', 'support', tn + fp FROM a
+    UNION ALL SELECT part, 'report 1', 'f1', f1 FROM a UNION ALL SELECT part, 'report 1', 'support', tp + fn FROM a
+    UNION ALL SELECT part, 'report macro avg', 'f1', (f0 + f1) / 2 FROM a
+    UNION ALL SELECT part, 'report weighted avg', 'f1', (f0 * (tn + fp) + f1 * (tp + fn)) / total FROM a
+    UNION ALL SELECT part, 'report accuracy', 'f1', (tn + tp) / total FROM a
+    UNION ALL SELECT part, 'threshold 0.5', 'predicted', tp + fp FROM a UNION ALL SELECT part, 'threshold 0.7', 'fn', fn FROM a
+    UNION ALL SELECT part, 'scores', 'n', total FROM a UNION ALL SELECT part, 'scores', 'average_precision', ap FROM a
+    UNION ALL SELECT part, 'scores', 'roc_auc', roc FROM a
+    UNION ALL SELECT part, 'regression', 'n', n FROM r UNION ALL SELECT part, 'regression', 'mae', mae FROM r
+    UNION ALL SELECT part, 'regression', 'mape', mape FROM r UNION ALL SELECT part, 'regression', 'r2', coalesce(r2, 1) FROM r)
+SELECT part, name, metric, round(value, 6) AS value FROM told
+"""
+
+
+@query("evaluation_tables", _EVALUATION_SQL)
+def evaluation_tables(t: Tables) -> DataFrame:
+    """The job's whole evaluation of two models that learnt steps of the month, on test rows that also depend on the priority."""
+    month, digit = F.month("o_orderdate"), F.substring("o_orderpriority", 1, 1).cast("int")
+    late = F.year("o_orderdate") >= 2000
+    step = F.when(month >= 7, 250_000.0).otherwise(120_000.0)
+    # Columns of the panel that the models read: the month decides, the priority stands in the total, all others are constant.
+    constant = {c: F.lit("x") for c in CATEGORIES} | {c: F.lit(1.0) for c in (*forecast.SALE_FEATURES, *forecast.PRICE_FEATURES) if c not in CATEGORIES}
+    features = constant | {"total_sales": month, "YearBuiltRounded": month.cast("double"), "TaxMarketValueTotalRounded": digit * 25_000.0}
+    labels = {
+        splits.LABEL: ((month >= 7) | (late & (digit == 1))).cast("int"), splits.PRICE_LABEL: F.when(late, step + 10_000 * digit).otherwise(step),
+        "sale_in_6_months": F.lit(1), "sale_in_12_months": F.lit(1), "next_good_sale": F.lit(1), "date": F.trunc("o_orderdate", "MM"),
+    }
+    panel = checkpointed(t.orders.select(*[v.alias(c) for c, v in (features | labels).items()], late.alias("late")))
+    panels = splits.Splits(test=panel.where("late"), train=panel.where("not late"))
+    dictionary = fit_ordinal(panel, CATEGORIES)
+    models = {}
+    for label, names, kind in ((splits.LABEL, forecast.SALE_FEATURES, "classifier"), (splits.PRICE_LABEL, forecast.PRICE_FEATURES, "regressor")):
+        coded = forecast.coded(names)
+        rows = splits.modelling_rows(forecast.encoded_categories(panels.train, dictionary), label, coded)
+        models[label] = fit_once(rows, coded, label, kind)
+    tables = forecast.evaluate(panels, dictionary, models, forecast.ForecastConfig(etl.EtlConfig("", "", None, None)))
+    told: list[DataFrame] = []
+
+    def tell(part: str, name: str, df: DataFrame, columns: list[str]) -> None:
+        pairs = F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(c).cast("double") for c in columns]))).alias("metric", "value")
+        told.append(df.select(F.lit(part).alias("part"), F.lit(name).alias("name"), pairs))
+
+    for part in ("train", "test"):
+        for name, columns in (
+            ("balance", ["total", "positive", "percent"]), ("scores", ["n", "average_precision", "roc_auc"]), ("regression", ["n", "r2", "mae", "mape"]),
+            ("classification", ["tn", "fp", "fn", "tp", "precision", "recall", "f1", "average_precision_hard", "roc_auc_hard"]),
+        ):
+            tell(part, name, tables[f"{part}_{name}"], columns)
+        report, swept = tables[f"{part}_report"], tables[f"{part}_thresholds"]
+        for label, columns in (("0", ["precision", "recall", "f1", "support"]), ("1", ["f1", "support"]), ("macro avg", ["f1"]), ("weighted avg", ["f1"]), ("accuracy", ["f1"])):
+            tell(part, f"report {label}", report.where(F.col("label") == label), columns)
+        for threshold, columns in ((0.5, ["predicted"]), (0.7, ["fn"])):
+            tell(part, f"threshold {threshold}", swept.where(F.abs(F.col("threshold") - threshold) < 1e-9), columns)
+    stacked = told[0]
+    for one in told[1:]:
+        stacked = stacked.unionByName(one)
+    return stacked.select("part", "name", "metric", F.round("value", 6).alias("value"))
+
+
 SALE_FEATURES = ["total_sales", "tenure_months", "month", "owner_code", "business_owner"]
 PRICE_FEATURES = ["total_sales", "tenure_months", "last_sale_price", "owner_code"]
 

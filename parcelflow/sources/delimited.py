@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from parcelflow.functions.numbers import to_number
 from parcelflow.sources.missing import BLANKS, known_text
 
 
+OPENED_AT_ONCE = 32  # headers that the driver reads at a time
+
+
 def typed(c: Column, kind: str) -> Column:
     """Text as ``string``, ``double``, ``int``, ``long`` or ``date``; unreadable text is NULL."""
     if kind == "string":
@@ -65,12 +69,14 @@ def read_with_header(
 
     Files are grouped by their header line and stacked by name, so their columns may stand in any order; a column of
     ``types`` that a file lacks is missing there, and other columns are not parsed. Only names and headers of the files
-    reach the driver.
+    reach the driver, which opens many files at a time.
     """
     found = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=name_filter).load(path)
     by_header: dict[str, list[str]] = {}
-    for row in found.select("path").orderBy("path").collect():
-        by_header.setdefault(_first_line(spark, row["path"]), []).append(row["path"])
+    listed = sorted(row["path"] for row in found.select("path").collect())
+    with ThreadPoolExecutor(max_workers=OPENED_AT_ONCE) as pool:
+        for file, header in zip(listed, pool.map(lambda f: _first_line(spark, f), listed)):
+            by_header.setdefault(header, []).append(file)
     if not by_header:
         return with_types(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in types)), types)
     options = {"sep": separator, "header": True, "quote": '"', "escape": '"', "enforceSchema": True}

@@ -13,6 +13,25 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of one small file."""
+    file, files = file_system(spark, path)
+    stream = files.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    file, files = file_system(spark, path)
+    stream = files.create(file, overwrite)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has finished: the committer leaves ``_SUCCESS`` last."""
     marker, files = file_system(spark, f"{path}/_SUCCESS")

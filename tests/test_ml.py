@@ -129,6 +129,26 @@ def test_model_survives_saving(scored_world, tmp_path):
     assert sums[0] == pytest.approx(sums[1])
 
 
+def test_model_is_refused_with_other_features_or_codes(spark, scored_world, tmp_path):
+    _, features, sale, _ = scored_world
+    codes = spark.createDataFrame([("a", "x", 0), ("a", "y", 1)], "column string, value string, code int")
+    path = str(tmp_path / "model")
+    train.save_model(sale, path, features, codes)
+    assert train.load_model(path, features, codes.orderBy(F.desc("code"))).stages
+    with pytest.raises(ValueError, match="was trained on"):
+        train.load_model(path, features[:2], codes)
+    for other in (codes.where("code = 0"), codes.withColumn("code", F.col("code") + 1), codes.limit(0)):
+        with pytest.raises(ValueError, match="another dictionary"):
+            train.load_model(path, features, other)
+    train.save_model(sale, path, features)
+    with pytest.raises(ValueError, match="another dictionary"):
+        train.load_model(path, features, codes)
+    train.save_model(sale, str(tmp_path / "bare"))
+    with pytest.raises(ValueError, match="was trained on None"):
+        train.load_model(str(tmp_path / "bare"), features)
+    assert train.load_model(str(tmp_path / "bare")).stages
+
+
 def test_importance_finds_the_feature_that_matters(scored_world):
     df, features, sale, _ = scored_world
     ranked = importance.permutation_importance(sale, df, features, "label").collect()

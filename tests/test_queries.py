@@ -14,7 +14,7 @@ from parcelflow.queries import ORACLES, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 NAMES = [n for n in QUERIES if n in ORACLES]
 # These train or collect a dictionary while they are built, and their plans are those of scoring.
-TRAINED = {"train_classifier", "train_regressor", "train_search", "cascade_score", "perm_importance"}
+TRAINED = {"train_classifier", "train_regressor", "train_search", "saved_model_scores", "evaluation_tables", "cascade_score", "perm_importance"}
 
 
 @pytest.fixture(scope="module")
