@@ -13,7 +13,7 @@ import json
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
@@ -60,44 +60,33 @@ def _checked(definition: str) -> list[str]:
     return [t["content"] for t in parts["added_tokens"]]
 
 
-@functools.lru_cache(maxsize=4)
-def odd_characters(definition: str) -> str:
-    """Characters that the library's split and ``PATTERN`` class differently, as they know different Unicode versions."""
-    split, pattern, odd = _library(definition).pre_tokenizer.pre_tokenize_str, regex.compile(PATTERN), []
-
-    def differs(codes: Iterable[int]) -> bool:
-        text = " ".join(f"a{chr(c)}a 1{chr(c)}1 .{chr(c)}. {chr(c)}{chr(c)}" for c in codes)
-        return [span for _, span in split(text)] != [m.span() for m in pattern.finditer(text)]
+@functools.lru_cache(maxsize=1 << 17)
+def is_odd(definition: str, character: str) -> bool:
+    """Whether the library's split and ``PATTERN`` class a character differently, as they know different Unicode versions."""
+    c = character
+    text = f"a{c}a 1{c}1 .{c}. {c}{c}"
+    split = _library(definition).pre_tokenizer.pre_tokenize_str(text)
+    return [span for _, span in split] != [m.span() for m in _pattern().finditer(text)]
 
-    def look(low: int, high: int) -> None:
-        if differs(range(low, high)):
-            if high - low == 1:
-                odd.append(chr(low))
-            else:
-                middle = (low + high) // 2
-                look(low, middle)
-                look(middle, high)
 
-    for low in range(0, 0x110000, 4096):
-        if not 0xD800 <= low < 0xE000:
-            look(low, min(low + 4096, 0xD800) if low < 0xD800 else low + 4096)
-    return "".join(odd)
+@functools.lru_cache(maxsize=1)
+def _pattern() -> regex.Pattern:
+    return regex.compile(PATTERN)
 
 
 class Splitter:
-    """Cuts texts into pre-tokens as the library does. Sent to tasks as its two strings."""
+    """Cuts texts into pre-tokens as the library does. Sent to tasks as its definition; characters are classed as they are met."""
 
     def __init__(self, definition: str):
-        self.definition, self.specials, self.odd = definition, _checked(definition), odd_characters(definition)
+        self.definition, self.specials = definition, _checked(definition)
         self._ready = False
 
     def __getstate__(self):
-        return {"definition": self.definition, "specials": self.specials, "odd": self.odd, "_ready": False}
+        return {"definition": self.definition, "specials": self.specials, "_ready": False}
 
     def _prepare(self) -> None:
-        self._pattern = regex.compile(PATTERN)
+        self._even, self._odd = set(), set()
         self._special = regex.compile("|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True)) or r"(?!)")
-        self._odd = frozenset(self.odd)
         self._ready = True
 
     def __call__(self, text: str) -> tuple[list[str], int]:
@@ -107,14 +96,19 @@ class Splitter:
         parts = self._special.split(text) if any(s in text for s in self.specials) else (text,)
         if text.isascii() or _PLAIN_TEXT.fullmatch(text):
             cut = _PLAIN_PATTERN.findall
-        elif self._odd.isdisjoint(text):
-            cut = self._pattern.findall
+        elif self._all_even(text):
+            cut = _pattern().findall
         else:
             cut = self._by_library
         if len(parts) == 1:
             return cut(text), 0
         return [t for part in parts for t in cut(part)], len(parts) - 1
 
+    def _all_even(self, text: str) -> bool:
+        for c in set(text) - self._even - self._odd:
+            (self._odd if is_odd(self.definition, c) else self._even).add(c)
+        return self._odd.isdisjoint(text)
+
     def _by_library(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in _library(self.definition).pre_tokenizer.pre_tokenize_str(text)]
 
