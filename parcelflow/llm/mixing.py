@@ -44,7 +44,7 @@ def weighed(docs: DataFrame, weights: DataFrame, share: float, repeats: int, see
     level = shared_out(sizes, budget, repeats)
     limit = (F.col("source_size") * repeats).cast("double")
     sizes = sizes.withColumn("target", F.least(limit, F.lit(level) * F.col("weight")))
-    queued = running(rows, ["missing", "name"], F.col("turn"), ["turn", "doc_id"], F.col("size"), "sent")
+    queued = running(rows, ["missing", "name"], F.col("turn"), ["turn", "doc_id", *carry], F.col("size"), "sent")
     queued = queued.join(written(sizes), ["missing", "name"])
     place = F.struct(
         ((F.col("sent") + F.col("size")) / F.col("weight")).alias("finish"),

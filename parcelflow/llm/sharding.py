@@ -9,8 +9,7 @@ as many levels as it takes. No level sees more than a batch at a time.
 from __future__ import annotations
 
 import heapq
-import uuid
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm.shared import running, written
 
-#: Groups or partial partitions that are differenced at a time.
-BATCH = 10_000
+#: Groups that are differenced at a time, at most and on average, and partial partitions.
+BATCH, LEVEL = 10_000, 8192
 #: Bytes that a document takes in a shard besides its text.
 OVERHEAD = 16
 
@@ -61,51 +60,39 @@ def differenced(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, parts[-1]
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of a task in tables of ``BATCH`` rows, all but the last full."""
-    held: list[pa.RecordBatch] = []
-    count = 0
-    for batch in batches:
-        while batch.num_rows:
-            part = batch.slice(0, BATCH - count)
-            held.append(part)
-            count += part.num_rows
-            batch = batch.slice(part.num_rows)
-            if count == BATCH:
-                yield pa.Table.from_batches(held)
-                held, count = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _groups(shards: int):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _batches(batches):
-            sums = np.zeros((rows.num_rows, shards), np.int64)
-            sums[:, 0] = rows["bytes"].to_numpy()
-            to, _ = differenced(sums)
-            ids = pa.array([uuid.uuid4().hex] * rows.num_rows)
-            yield pa.record_batch([rows["digest"].combine_chunks(), rows["bytes"].combine_chunks(), ids, pa.array(to[:, 0].astype(np.int32))], ["digest", "bytes", "part", "shard"])
+    def over(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("digest")
+        sums = np.zeros((rows.num_rows, shards), np.int64)
+        sums[:, 0] = rows["bytes"].to_numpy()
+        to, _ = differenced(sums)
+        return pa.table([rows["digest"], rows["bytes"], rows["part"], pa.array(to[:, 0].astype(np.int32))], ["digest", "bytes", "part", "shard"])
 
     return over
 
 
 def _parts(shards: int):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _batches(batches):
-            sums = np.array(rows["sums"].combine_chunks().flatten(), np.int64).reshape(-1, shards)
-            to, total = differenced(sums)
-            number = rows.num_rows
-            each = pa.ListArray.from_arrays(pa.array(np.arange(0, number * shards + 1, shards), pa.int32()), pa.array(to.ravel().astype(np.int32)))
-            whole = pa.array([total.tolist()] * number, pa.list_(pa.int64()))
-            yield pa.record_batch([rows["part"].combine_chunks(), each, pa.array([uuid.uuid4().hex] * number), whole], ["part", "to", "whole", "sums"])
+    def over(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("part")
+        number = rows.num_rows
+        to, total = differenced(np.array(rows["sums"].combine_chunks().flatten(), np.int64).reshape(-1, shards))
+        each = pa.ListArray.from_arrays(pa.array(np.arange(0, number * shards + 1, shards), pa.int32()), pa.array(to.ravel().astype(np.int32)))
+        whole = pa.array([total.tolist()] * number, pa.list_(pa.int64()))
+        return pa.table([rows["part"], each, rows["whole"], whole], ["part", "to", "whole", "sums"])
 
     return over
 
 
 def group_shards(groups: DataFrame, shards: int) -> DataFrame:
-    """``groups`` (digest, bytes; one row for each) with the shard of each: digest, shard."""
-    dealt = written(groups.select("digest", "bytes").mapInArrow(_groups(shards), "digest binary, bytes long, part string, shard int"))
+    """``groups`` (digest, bytes; one row for each) with the shard of each: digest, shard.
+
+    A hash of the digest says which batch a group is in, and batches are sorted, so the same groups always end in the
+    same shards, however they lie.
+    """
+    bits = max(0, math.ceil(math.log2(max(1, groups.count()) / BATCH)))
+    part = F.shiftrightunsigned(F.xxhash64("digest"), 64 - bits) if bits else F.lit(0).cast("long")
+    dealt = groups.select("digest", "bytes", part.alias("part")).groupBy("part")
+    dealt = written(dealt.applyInArrow(_groups(shards), "digest binary, bytes long, part long, shard int"))
     sums = dealt.groupBy("part", "shard").agg(F.sum("bytes").alias("bytes")).groupBy("part")
     held = F.map_from_entries(F.collect_list(F.struct("shard", "bytes")))
     zero = F.lit(0).cast("long")
@@ -114,14 +101,11 @@ def group_shards(groups: DataFrame, shards: int) -> DataFrame:
     placed = dealt.select("digest", "part", "shard")
     while True:
         parts = written(parts)
-        number = parts.count()
-        if number <= 1:
+        if parts.count() <= 1:
             return placed.select("digest", "shard")
-        # As few tasks as full batches need: a level shrinks the number of parts BATCH times.
-        level = parts.coalesce(-(-number // BATCH)).mapInArrow(
-            _parts(shards), "part string, to array<int>, whole string, sums array<long>"
-        )
-        level = written(level)
+        # Neighbouring parts are one part of the next level, which has LEVEL times fewer.
+        level = parts.withColumn("whole", F.floor(F.col("part") / LEVEL)).groupBy("whole")
+        level = written(level.applyInArrow(_parts(shards), "part long, to array<int>, whole long, sums array<long>"))
         to = level.select("part", "to", "whole")
         placed = written(placed.join(to, "part").select("digest", F.col("whole").alias("part"), F.element_at("to", F.col("shard") + 1).alias("shard")))
         parts = level.select(F.col("whole").alias("part"), "sums").dropDuplicates(["part"])
@@ -132,17 +116,18 @@ def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:
 
     Size is the text's UTF-8 bytes and ``OVERHEAD``; shards are near equal in bytes (``law`` is "bytes") and documents
     with equal texts are in one shard. Null texts are one group with no bytes, as are empty ones. Slots of a shard count
-    from 0 without gaps; rows with equal doc_id each have their own.
+    from 0 without gaps; rows with equal doc_id each have their own. The result does not depend on how the rows lie; rows
+    that agree in doc_id and text take neighbouring slots. Other columns are left out. An empty table has no rows.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.unhex(F.sha2(text, 256)).alias("digest"), F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("turn"),
+        F.unhex(F.sha2(text, 256)).alias("digest"), F.xxhash64("doc_id", text).alias("turn"),
     )
     rows = written(rows)
     groups = written(rows.groupBy("digest").agg(F.sum("size").alias("bytes")))
-    placed = written(rows.join(written(group_shards(groups, shards)), "digest").drop("digest"))
-    numbered = running(placed, ["shard"], F.col("turn"), ["turn", "doc_id"], F.lit(1), "slot")
+    placed = written(rows.join(written(group_shards(groups, shards)), "digest"))
+    numbered = running(placed, ["shard"], F.col("turn"), ["turn", "doc_id", "digest"], F.lit(1), "slot")
     return numbered.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

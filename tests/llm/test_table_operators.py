@@ -330,6 +330,19 @@ def _shards_check(docs, rows, shards):
     assert all(len(s) == 1 for s in crc.values())
 
 
+def test_same_rows_same_shards_and_mix_for_every_layout(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BATCH", 16)
+    monkeypatch.setattr(sharding, "LEVEL", 4)
+    same_id = [(7, f"{a} {b} c", None, "s", None, "r", "i", None, 1, "o", "m", "w", None) for a in "pqr" for b in "xyz"]
+    docs = documents(spark).unionByName(documents(spark, same_id)).unionByName(
+        table(spark, FOLDER, "documents").select("doc_id", "text", "lang", "source", *[F.lit(None).alias(c) for c in documents(spark, []).columns[4:]])
+    )
+    shards = [ordered(map(tuple, sharding.sharded(docs.repartition(n), 7).collect())) for n in (1, 3, 5)]
+    assert shards[0] == shards[1] == shards[2]
+    mixes = [ordered(map(tuple, mixing.repeated(docs.repartition(n), n_words(), source_weights(docs)).collect())) for n in (1, 3, 5)]
+    assert mixes[0] == mixes[1] == mixes[2]
+
+
 @pytest.mark.parametrize("batch", [sharding.BATCH, 16])
 def test_sharding(spark, monkeypatch, batch):
     monkeypatch.setattr(sharding, "BATCH", batch)
