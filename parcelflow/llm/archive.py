@@ -178,7 +178,11 @@ def resolved(found: DataFrame) -> DataFrame:
 
 
 def archived(pages: DataFrame) -> str:
-    """Archive ``pages`` in a folder of its own in the shared one and export it; the folder."""
+    """Archive ``pages`` in a folder of its own in the shared one and export it; the folder.
+
+    An empty table makes an empty archive. A payload is held whole where its record is written or read, and so is the
+    file it is read from.
+    """
     folder = new_folder(pages.sparkSession)
     stored(pages, folder)
     exported(records(pages.sparkSession, folder), f"{folder}/warc")

@@ -97,7 +97,7 @@ def mixed(
     holds ``share`` times all tokens, short by less than one document, and no document more than ``repeats`` times. The
     result has the rows of ``docs`` with source_size, target (of the source), copies and taken (copies times size).
 
-    A null source is a source like any other. Documents of size 0 are never taken. Ties are settled by a hash of the
+    An empty table gives none. A null source is a source like any other. Documents of size 0 are never taken. Ties are settled by a hash of the
     row; rows that are equal in all columns cannot be told apart, so it doesn't matter which one comes first.
     """
     queued, budget = weighed(docs, weights, share, repeats, seed, list(carry))

@@ -186,7 +186,9 @@ def matches(docs: DataFrame, items: DataFrame, size: int = 13, keep: list[str] |
     ``docs`` has ``text``, ``items`` has ``item_id`` and ``text``. A window is ``size`` consecutive words of an item,
     or all words of an item that has fewer. The result has a row for each document: ``row`` (a struct of its columns,
     or those of ``keep``), n_words and matches, an array of (item_id, item_start, doc_start, words, longest). A null
-    text has no words and an item without words no window. A null item_id is left out.
+    text has no words and an item without words no window. A null item_id is left out. Texts are read whole. Repeated
+    rows have a result each; of items with one id all windows count. Columns of ``docs`` may have any names, as they
+    stand in ``row``. An empty table of documents has no rows, and without items nothing is hit.
     """
     keep, spark = keep or docs.columns, docs.sparkSession
     wanted = [*keep] if "text" in keep else [*keep, "text"]

@@ -183,7 +183,8 @@ def token_counts(docs: DataFrame, definition: str, commonest: int = COMMONEST) -
     """doc_id, n_bytes (UTF-8) and n_tokens of each row of ``docs`` (doc_id, text), without begin or end tokens.
 
     ``definition`` is the content of a tokenizer file. A null text counts as empty: no bytes, no tokens. Special
-    strings inside texts are one token each, as the library has it by default. Rows may repeat; each is counted.
+    strings inside texts are one token each, as the library has it by default. Rows may repeat; each is counted. Texts
+    are counted whole. Other columns are left out. An empty table has no rows.
     """
     spark = docs.sparkSession
     splitter = Splitter(definition)

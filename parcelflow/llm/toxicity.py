@@ -134,7 +134,8 @@ def trained(docs: DataFrame, toxic: DataFrame, prior: float, seed: int = 0) -> n
 
     At most about ``CLASSIFIERS * POSITIVES`` positives and ``CLASSIFIERS * UNLABELLED`` unlabelled texts are used,
     drawn by a hash of doc_id and text. All texts of ``docs`` are drawn from as unlabelled, the confirmed ones included,
-    as the risk asks for. Without a positive text the model calls nothing toxic.
+    as the risk asks for. Without a positive text the model calls nothing toxic, so neither do empty tables. A null text
+    counts as an empty one. Repeated rows are drawn together; an id that is confirmed twice counts once.
     """
     turn = F.xxhash64(F.lit(seed), "doc_id", "text")
     rows = docs.select("doc_id", "text", turn.alias("turn"))
