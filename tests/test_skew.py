@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import pytest
 from conftest import plan_of
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.operators import backfill, dedup, joins
 from parcelflow.operators.positions import with_position
+from parcelflow.operators.spread import ROWS_PER_TASK
+from parcelflow.queries import formats
 
 ROWS = 30_000
 
@@ -162,3 +165,14 @@ def test_backfill_of_a_hot_key_builds_no_pairs(spark):
     plan = plan_of(filled).split("Physical Plan")[1]
     assert ">= " not in plan.split("SortMergeJoin")[0]  # no range condition in a join
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_layout_lines_are_dealt_out_over_tasks(spark):
+    """One read task of short rows, and adaptive execution that would merge by bytes, still give tasks of a bounded number of rows."""
+    keys = spark.range(0, 2 * ROWS_PER_TASK + 1, 1, 1).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("c_custkey"))  # a third without a key
+    lines = formats._lines(keys)
+    sizes = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * ROWS_PER_TASK + 1 and len(sizes) == 3 and max(sizes) <= ROWS_PER_TASK
+    few = spark.createDataFrame([(7,), (7,), (None,)], "c_custkey long")
+    blocks = [hashlib.md5(f"7:{i}".encode()).hexdigest().translate(str.maketrans("abcdef", "123456")) for i in range(formats.BLOCKS)]
+    assert sorted(r["line"] for r in formats._lines(few).collect()) == ["", "".join(blocks), "".join(blocks)]
