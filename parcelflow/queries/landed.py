@@ -87,10 +87,15 @@ def json_lines(t: Tables) -> DataFrame:
     return t.spark.read.schema(kept.schema).json(f"{folder}/2-json")
 
 
+#: Lines of a landed file. A compressed file is read by one task, so it is kept short: at most 64 MB of the longest lines.
+LINES_PER_FILE = 40_000
+
+
 def _landed(df: DataFrame, fields: list[Field], path: str) -> None:
-    """Rows as a fixed-width file; fields that ``df`` lacks are blank."""
+    """Rows as fixed-width files; fields that ``df`` lacks are blank. Lines are mostly blanks, hence compressed."""
     blank = {f.name: F.lit(None).cast("string") for f in fields if f.name not in df.columns}
-    df.withColumns(blank).select(written_line(fields)).write.option("encoding", layouts.ENCODING).text(path)
+    lines = df.withColumns(blank).select(written_line(fields))
+    lines.write.options(encoding=layouts.ENCODING, compression="gzip", maxRecordsPerFile=LINES_PER_FILE).text(path)
 
 
 @query(

@@ -11,7 +11,7 @@ from landing import Parcel, fixed_line, sample_parcels, write_cama, write_landin
 from pyspark.sql import functions as F
 
 from parcelflow import stages
-from parcelflow.queries import formats
+from parcelflow.queries import formats, landed
 from parcelflow.sources import counties, delimited, fixed_width, layouts, tables
 
 D = dt.date
@@ -172,3 +172,16 @@ def test_stages(spark, tmp_path):
 def test_relational_reader_needs_its_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         tables.read_table(spark, "jdbc:none:x", "prediction", {"driver": "no.such.Driver"}, ("id", 0, 10, 2))
+
+
+def test_landed_lines_are_compressed_in_short_files_and_come_back_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "LINES_PER_FILE", 100)
+    rows = spark.range(0, 250, 1, 1).select(
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("parcel "), (F.col("id") % 50).cast("string"))).alias("Parid"), F.col("id").cast("double").alias("Price")
+    )  # keys repeat or are missing
+    landed._landed(rows, layouts.SALES, str(tmp_path / "SALES.DAT"))
+    files = list((tmp_path / "SALES.DAT").glob("part-*"))
+    assert len(files) == 3  # each is read by one task
+    assert sum(f.stat().st_size for f in files) * 10 < 250 * layouts.total_width(layouts.SALES)
+    read = fixed_width.read_fixed_width(spark, str(tmp_path / "SALES.DAT"), layouts.SALES, columns=["Parid", "Price"])
+    assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))
