@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelflow.operators import backfill, dedup, joins
 from parcelflow.operators.positions import with_position
 from parcelflow.operators.spread import ROWS_PER_TASK
-from parcelflow.queries import formats
+from parcelflow.queries import QUERIES, formats
 
 ROWS = 30_000
 
@@ -176,3 +176,10 @@ def test_layout_lines_are_dealt_out_over_tasks(spark):
     few = spark.createDataFrame([(7,), (7,), (None,)], "c_custkey long")
     blocks = [hashlib.md5(f"7:{i}".encode()).hexdigest().translate(str.maketrans("abcdef", "123456")) for i in range(formats.BLOCKS)]
     assert sorted(r["line"] for r in formats._lines(few).collect()) == ["", "".join(blocks), "".join(blocks)]
+
+
+def test_a_layout_query_does_not_read_and_cut_in_one_task(spark, tmp_path):
+    spark.range(0, ROWS_PER_TASK + 1, 1, 1).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    cut = QUERIES["layout_dwelling_clermont"](spark, str(tmp_path))
+    sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == ROWS_PER_TASK + 1 and len(sizes) == 2
