@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.numbers import price_interval, round_ten_thousands
-from parcelflow.ml.train import MISSING_VALUE
+from parcelflow.ml.train import MISSING_VALUE, bin_name
 
 SCORE = "pred_sale_in_3_months"
 PRICE = "pred_next_sale_price"
@@ -25,7 +25,7 @@ def _transform(df: DataFrame, model, features: Sequence[str]) -> DataFrame:
     prepared = df.withColumns({kept: F.col(c) for c, kept in originals.items()})
     prepared = prepared.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING_VALUE)) for c in features})
     scored = model.transform(prepared)
-    return scored.withColumns({c: F.col(kept) for c, kept in originals.items()}).drop(*originals.values())
+    return scored.withColumns({c: F.col(kept) for c, kept in originals.items()}).drop(*originals.values(), *map(bin_name, features))
 
 
 def score_sales(df: DataFrame, classifier, features: Sequence[str], name: str = SCORE) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -47,6 +47,8 @@ def with_fold(df: DataFrame, date: str, folds: int = FOLDS, name: str = "fold")
 
 ROWS_PER_TASK = 50_000
 WEIGHT = "_weight"  # rows of the same features, label and fold are one row with their number as its weight
+BINS = 32  # of a feature, between which trees of Spark look for a threshold (``maxBins``)
+SPREAD = "_spread"  # squared distances of the labels of a cell's rows from their mean
 
 #: Settings that a search starts from, shallow trees first: of equally good ones the first is kept.
 GRID = tuple({"maxDepth": depth, "stepSize": step} for depth in (2, 3, 4, 5) for step in (0.1, 0.3))
@@ -86,11 +88,79 @@ def modelled(df: DataFrame, features: Sequence[str], label: str, more: Sequence[
     """
     kept = [*features, F.col(label).cast("double").alias(label), *more]
     known = feature_rows(df.where(F.col(label).isNotNull()), features).select(*kept)
-    rows = checkpointed(known.groupBy(*known.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)))
-    # A fit is a chain of short jobs over these rows: no more tasks than the rows are worth.
+    return _kept(known.groupBy(*known.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once. A fit is a chain of short jobs over its rows: no more tasks than the rows are worth."""
+    rows = checkpointed(df)
     return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
 
 
+def bin_name(feature: str) -> str:
+    return f"_bin_{feature}"
+
+
+def _bounds(rows: DataFrame, features: Sequence[str]) -> list[list[float]]:
+    """Where the bins of each feature meet: between its values if these are few, else at quantiles of the rows."""
+    numbers = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    few = [c for c in features if numbers[c] <= 2 * BINS]
+    values = rows.agg(F.lit(0), *[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
+    quantiles = rows.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 0.001)
+    bounds = []
+    for c, points in zip(features, quantiles):
+        if c in few and len(values[c]) <= BINS:
+            points = [(a + b) / 2 for a, b in zip(values[c], values[c][1:])]
+        bounds.append(sorted({p for p in points if math.isfinite(p)}))
+    return bounds
+
+
+def _cells(rows: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """Rows that agree in ``keys`` as one row: their number and, of a label that is no key, its mean and spread."""
+    number, total = F.sum(WEIGHT), F.sum(F.col(WEIGHT) * F.col(label))
+    squares = F.sum(F.col(WEIGHT) * F.col(label) * F.col(label) + F.col(SPREAD))
+    labels = [] if label in keys else [(total / number).alias(label), F.greatest(squares - total * total / number, F.lit(0.0)).alias(SPREAD)]
+    return rows.groupBy(*keys).agg(number.alias(WEIGHT), *labels)
+
+
+@dataclass(frozen=True)
+class Folds:
+    """What a search reads: all rows and, for each fold, the rows to fit and those to score. ``bins`` cuts features before."""
+
+    inputs: list[str]
+    whole: DataFrame
+    parts: dict[int, tuple[DataFrame, DataFrame]]
+    bins: Bucketizer | None = None
+
+
+def in_folds(rows: DataFrame, features: Sequence[str], label: str, kind: str, fold: str) -> Folds:
+    """The rows of ``modelled`` as they are, or as cells if there are more than a task takes and cells are fewer.
+
+    A tree sees of a feature in which bin it lies, and of the labels (regression) or classes (classification) of the
+    rows in the same bins nothing but their sums. So these rows are one weighted row, a cell, without loss, and fits
+    that each read their rows hundreds of times are as large as the bins that occur, however many rows there are. The
+    spread keeps R2 that of the rows.
+    """
+    held = sorted(r[0] for r in rows.select(fold).distinct().collect())  # as many as there are folds
+    number = rows.count()
+    if number > ROWS_PER_TASK:
+        inputs = [bin_name(c) for c in features]
+        splits = [[-math.inf, *points, math.inf] for points in _bounds(rows, features)]
+        # A Bucketizer wants two bins at least; those of a constant feature meet where no value is.
+        splits = [s if len(s) > 2 else [-math.inf, MISSING_VALUE - 1, math.inf] for s in splits]
+        bins = Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=inputs)
+        keys = [*inputs, *([label] if kind == "classifier" else [])]
+        cut = bins.transform(rows).withColumn(SPREAD, F.lit(0.0))
+        for c in inputs:  # numbers in order to a tree, not the names that a Bucketizer calls them
+            cut = cut.withMetadata(c, {})
+        cells = checkpointed(_cells(cut, [*keys, fold], label).withColumns({} if kind == "regressor" else {SPREAD: F.lit(0.0)}))
+        whole = _kept(_cells(cells, keys, label))
+        if 2 * whole.count() <= number:
+            parts = {out: (_kept(_cells(cells.where(F.col(fold) != out), keys, label)), _kept(cells.where(F.col(fold) == out))) for out in held}
+            return Folds(inputs, whole, parts, bins)
+    return Folds(list(features), rows, {out: (rows.where(F.col(fold) != out), rows.where(F.col(fold) == out)) for out in held})
+
+
 def _pipeline(features: Sequence[str], learner) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), learner])
 
@@ -115,6 +185,15 @@ def _r2(scored: DataFrame, label: str) -> float:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2", weightCol=WEIGHT).evaluate(scored)
 
 
+def _r2_of_cells(scored: DataFrame, label: str) -> float:
+    """R2 of the rows of the cells."""
+    number, actual = F.col(WEIGHT), F.col(label)
+    mean = scored.agg(F.sum(number * actual) / F.sum(number)).first()[0]
+    missed, total = (F.sum(number * F.pow(actual - other, 2) + F.col(SPREAD)) for other in (F.col("prediction"), F.lit(mean)))
+    missed, total = scored.agg(missed, total).first()
+    return 1 - missed / total if total else float(not missed)
+
+
 def rounds_of(settings: int, max_iter: int) -> list[int]:
     """Boosting rounds of each rung: the last has half of ``max_iter``, each one before half of that, until one setting is left."""
     rungs = max(0, settings - 1).bit_length()
@@ -142,15 +221,16 @@ def search(
     learner = _learner(kind, label, max_iter, seed)
     fold = fold_column or "_fold"
     placed = df if fold_column else df.withColumn(fold, F.pmod(F.xxhash64(*features, label), F.lit(folds)).cast("int"))
-    rows = modelled(placed, features, label, [fold])
-    held = sorted(r[0] for r in rows.select(fold).distinct().collect())  # as many as there are folds
+    read = in_folds(modelled(placed, features, label, [fold]), features, label, kind, fold)
+    held = list(read.parts)
+    measure = _f1 if kind == "classifier" else _r2_of_cells if read.bins else _r2
     left, trials = list(GRID if grid is None else grid), []
 
     def score(job: tuple[dict, int, int]) -> float:
         setting, rounds, out = job
         tuned = learner.copy({learner.getParam(n): v for n, v in setting.items()} | {learner.maxIter: rounds})
-        model = _pipeline(features, tuned).fit(rows.where(F.col(fold) != out))
-        return (_f1 if kind == "classifier" else _r2)(model.transform(rows.where(F.col(fold) == out)), label)
+        fitted, scored = read.parts[out]
+        return measure(_pipeline(read.inputs, tuned).fit(fitted).transform(scored), label)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         for rung, rounds in enumerate(rounds_of(len(left), max_iter) if len(held) > 1 else [], 1):
@@ -160,7 +240,8 @@ def search(
             trials += [Trial(rung, rounds, left[i], means[i], i in best) for i in range(len(left))]
             left = [left[i] for i in sorted(best)]
     tuned = learner.copy({learner.getParam(n): v for n, v in left[0].items()})
-    return Search(_pipeline(features, tuned).fit(rows), trials)
+    model = _pipeline(read.inputs, tuned).fit(read.whole)
+    return Search(PipelineModel([read.bins, *model.stages]) if read.bins else model, trials)
 
 
 def train(*args, **settings) -> PipelineModel:

@@ -216,6 +216,58 @@ def test_rounds_double_from_rung_to_rung(settings, rounds):
     assert train.rounds_of(settings, 20) == rounds
 
 
+def _many_rows(spark):
+    """Rows of 20 cells and 3 folds that all differ by their price; one feature has a single value."""
+    i = F.col("id")
+    features = [(i % 4).cast("double").alias("a"), (i * 7919 % 5).cast("double").alias("b"), F.lit(None).cast("double").alias("c")]
+    labels = [((i * 31 % 7) < i % 4 + 1).cast("int").alias("sold"), (F.pow(i % 4, 2) * 1000.0 + F.pow(i * 7919 % 5, 3) * 70 + i * 0.01).alias("price")]  # no two splits are equally good
+    return spark.range(6000).select(*features, *labels, (i % 3).cast("int").alias("fold"))
+
+
+def test_fits_are_as_large_as_their_cells(spark, monkeypatch):
+    monkeypatch.setattr(train, "ROWS_PER_TASK", 1000)
+    rows = train.modelled(_many_rows(spark), ["a", "b", "c"], "price", ["fold"])
+    read = train.in_folds(rows, ["a", "b", "c"], "price", "regressor", "fold")
+    weigh = lambda df: (df.count(), df.agg(F.sum(train.WEIGHT)).first()[0])
+    assert rows.count() == 6000 and weigh(read.whole) == (20, 6000)
+    assert {out: (weigh(a), weigh(b)) for out, (a, b) in read.parts.items()} == {out: ((20, 4000), (20, 2000)) for out in range(3)}
+    assert read.whole.agg(F.sum(F.col(train.WEIGHT) * F.col("price"))).first()[0] == pytest.approx(rows.agg(F.sum("price")).first()[0])
+
+
+def test_rows_that_no_bins_make_fewer_stay_as_they_are(spark, monkeypatch):
+    monkeypatch.setattr(train, "ROWS_PER_TASK", 500)
+    df = spark.range(600).select((F.col("id") % 30).alias("x"), F.floor(F.col("id") / 30).alias("z"), F.col("id").alias("y"), F.lit(0).alias("fold"))
+    read = train.in_folds(train.modelled(df, ["x", "z"], "y", ["fold"]), ["x", "z"], "y", "regressor", "fold")
+    assert read.bins is None and read.inputs == ["x", "z"] and read.whole.count() == 600
+
+
+def test_features_of_many_values_are_cut_into_even_bins(spark, monkeypatch):
+    monkeypatch.setattr(train, "ROWS_PER_TASK", 1000)
+    df = spark.range(6400).select((F.col("id") * 7 % 6400).alias("x"), F.col("id").alias("y"), (F.col("id") % 2).cast("int").alias("fold"))
+    read = train.in_folds(train.modelled(df, ["x"], "y", ["fold"]), ["x"], "y", "regressor", "fold")
+    sizes = [r[train.WEIGHT] for r in read.whole.collect()]
+    assert len(sizes) == train.BINS and sum(sizes) == 6400 and max(sizes) < 1.1 * min(sizes)
+
+
+@pytest.mark.parametrize(("kind", "label"), [("classifier", "sold"), ("regressor", "price")])
+def test_cells_are_searched_and_fitted_like_their_rows(spark, monkeypatch, kind, label):
+    df, features = _many_rows(spark), ["a", "b", "c"]
+    grid = [{"maxDepth": 1}, {"maxDepth": 3}]
+    found = {}
+    for limit in (10**6, 30):
+        monkeypatch.setattr(train, "ROWS_PER_TASK", limit)
+        found[limit] = train.search(df, features, label, kind, fold_column="fold", grid=grid, max_iter=4)
+    rows, cells = found.values()
+    assert (len(rows.model.stages), len(cells.model.stages)) == (2, 3)
+    assert [(t.rung, t.setting, t.kept) for t in cells.trials] == [(t.rung, t.setting, t.kept) for t in rows.trials]
+    assert [t.score for t in cells.trials] == pytest.approx([t.score for t in rows.trials], abs=1e-9)
+    scored = [score.score_prices(df, s.model, features) if kind == "regressor" else score.score_sales(df, s.model, features) for s in (rows, cells)]
+    assert scored[0].columns == scored[1].columns
+    column = score.PRICE if kind == "regressor" else score.SCORE
+    told = [{(r["a"], r["b"]): r[column] for r in one.select("a", "b", column).distinct().collect()} for one in scored]
+    assert all(told[1][cell] == pytest.approx(value) for cell, value in told[0].items())
+
+
 def test_search_scores_missing_classes_as_nothing(spark):
     scored = spark.createDataFrame([(0.0, 0.0, 3.0)], f"y double, prediction double, {train.WEIGHT} double")
     assert train._f1(scored, "y") == 0.0 and train._f1(scored.where("false"), "y") == 0.0
